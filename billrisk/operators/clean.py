@@ -135,7 +135,15 @@ def bound_days_late(df: DataFrame, lower: int | None = None, **limits) -> DataFr
 
 
 def drop_incomplete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    return df.na.drop("any", subset=list(columns) if columns is not None else None)
+    """Rows without any null in the chosen (by default all) columns.
+
+    One condition per column: a single condition over dozens of columns makes
+    the optimizer derive a variant for every subset of renamed columns later.
+    """
+    known = F.lit(True)
+    for name in columns if columns is not None else df.columns:
+        known = known & F.col(name).isNotNull()
+    return df.where(known)
 
 
 def account_history(df: DataFrame, pin: str, columns: Sequence[str] | None = None) -> DataFrame:

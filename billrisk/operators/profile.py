@@ -7,11 +7,12 @@ shuffle; later steps work on the small grouped result.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from billrisk.operators.clean import numeric_columns
 from billrisk.operators.sizing import fetch_small
@@ -138,26 +139,18 @@ def bill_checks() -> dict[str, Column]:
     }
 
 
-class StageReport:
-    """Rows and columns after each stage, counted while the stages run.
+def stage_sizes(stages: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows and columns of each stage, all counted by one query.
 
-    ``watch`` attaches a counter to a frame; the counts are there once an
-    action has run on what was built from it.  No extra job is needed.
+    Steps shared by several stages are planned once where Spark can reuse
+    their shuffles; a cached stage is only read.
     """
-
-    def __init__(self) -> None:
-        self._stages: list[tuple[str, int, Observation]] = []
-
-    def watch(self, df: DataFrame, stage: str) -> DataFrame:
-        seen = Observation(f"{stage}-{len(self._stages)}")
-        self._stages.append((stage, len(df.columns), seen))
-        return df.observe(seen, F.count(F.lit(1)).alias("rows"))
-
-    def rows(self) -> list[tuple[int, str, int, int]]:
-        return [
-            (i, stage, seen.get["rows"], columns)
-            for i, (stage, columns, seen) in enumerate(self._stages, 1)
-        ]
+    counts = [
+        df.agg(F.lit(i).alias("step"), F.lit(name).alias("stage"), _count().alias("rows"),
+               F.lit(len(df.columns)).alias("columns"))
+        for i, (name, df) in enumerate(stages.items(), 1)
+    ]
+    return reduce(lambda a, b: a.unionByName(b), counts)
 
 
 # -------------------------------------------------------------- histograms

@@ -77,4 +77,6 @@ def run_backtest(bills: DataFrame, calendar: DataFrame, settings: BacktestSettin
     scores = forests.score(fitted, test, positive=True).select(
         KEY, YEAR, LABEL, "probability", F.col("prediction").cast("int").alias("prediction")
     ).persist()
-    return BinaryResult(fitted, scores, features, ">", None, LABEL, [scores, table])
+    return BinaryResult(
+        fitted, scores, features, {"features": table, "train": train, "test": test}, held=[scores, table],
+    )

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from billrisk.functions import as_int, flag
 from billrisk.operators import clean, encode, history, label, lookups, model as forests, split
-from billrisk.operators.profile import StageReport
 from billrisk.plans.results import BinaryResult
 from billrisk.schema import COLUMN_GROUPS, EXEMPTION_AMOUNTS, NUMERIC_COLUMNS, WOE_COLUMNS
 
@@ -97,19 +96,12 @@ def feature_table(table: DataFrame, settings: ClassifierSettings) -> DataFrame:
 
 def run_classifier(
     bills: DataFrame, calendar: DataFrame, ledger: DataFrame, settings: ClassifierSettings,
-    report: StageReport | None = None,
 ) -> BinaryResult:
     """Train on earlier years, score the current one.
 
     One table is cached: it is read to fit the weights, to train and to score.
     """
-    cleaned = clean_bills(bills, calendar, settings)
-    if report is not None:
-        cleaned = report.watch(cleaned, "clean")
-    table = history_table(cleaned, ledger, settings)
-    if report is not None:
-        table = report.watch(table, "features")
-    table = table.persist()
+    table = history_table(clean_bills(bills, calendar, settings), ledger, settings).persist()
     ready = feature_table(table, settings)
     train_rows = _train_rows(settings)
     train = ready.where(train_rows)
@@ -123,5 +115,6 @@ def run_classifier(
         KEY, YEAR, LABEL, "probability", F.col("prediction").cast("int").alias("prediction")
     ).persist()
     return BinaryResult(
-        fitted, scores, features, settings.threshold_op, settings.score_digits, LABEL, [scores, table],
+        fitted, scores, features, {"features": ready, "train": train, "test": test},
+        settings.threshold_op, settings.score_digits, LABEL, [scores, table],
     )

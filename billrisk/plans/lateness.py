@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
@@ -41,6 +41,12 @@ class LatenessResult:
     tested: DataFrame
     scored: DataFrame
     features: list[str]
+    held: list[DataFrame] = field(default_factory=list)
+
+    def close(self) -> None:
+        for df in self.held:
+            df.unpersist()
+        self.held.clear()
 
 
 def _prepare(bills: DataFrame, settings: LatenessSettings) -> DataFrame:
@@ -86,17 +92,19 @@ def labelled_and_target(
 def _run(bills, calendar, settings, label_column, stratify, train) -> LatenessResult:
     labelled, target = labelled_and_target(bills, calendar, settings)
     features = forests.feature_columns(labelled, exclude=[KEY, YEAR, "DiffPmt2", "LateLabel"])
-    labelled = clean.fill_zero(labelled, features)
-    # The split is drawn by account and year, which names a bill.
-    keyed = labelled.withColumn("_bill", F.concat_ws("#", KEY, YEAR))
-    marked = split.mark_stratified(keyed, stratify, "_bill", settings.train_share, settings.seed).persist()
+    # The split is drawn by account and year, which names a bill.  It reads its
+    # input more than once, so the narrow feature table is cached.
+    bill = F.concat_ws("#", KEY, YEAR).alias("_bill")
+    wanted = dict.fromkeys([KEY, *features, label_column, stratify])
+    table = clean.fill_zero(labelled.select(bill, *wanted), features).persist()
+    marked = split.mark_stratified(table, stratify, "_bill", settings.train_share, settings.seed)
     train_rows, test_rows = split.parts(marked)
     fitted = train(train_rows, features, label_column, settings.forest)
     tested = forests.score(fitted, test_rows).select(
         KEY, F.col(label_column).cast("double").alias("actual"), F.col("prediction").alias("predicted")
     )
     scored = forests.score(fitted, clean.fill_zero(target, features))
-    return LatenessResult(fitted, tested, scored, features)
+    return LatenessResult(fitted, tested, scored, features, [table])
 
 
 def run_multiclass(bills: DataFrame, calendar: DataFrame, settings: LatenessSettings) -> LatenessResult:

@@ -8,6 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
 from billrisk.operators import evaluate, model as forests
+from billrisk.operators.profile import stage_sizes
 from billrisk.sources import save_model, write_scores
 
 
@@ -21,10 +22,11 @@ class BinaryResult:
     model: PipelineModel
     scores: DataFrame
     features: list[str]
+    stages: dict[str, DataFrame]
     threshold_op: str = ">"
     score_digits: int | None = None
     label: str = "LatePmt2"
-    _held: list[DataFrame] = field(default_factory=list)
+    held: list[DataFrame] = field(default_factory=list)
 
     def thresholds(self) -> DataFrame:
         return evaluate.threshold_metrics(
@@ -41,6 +43,9 @@ class BinaryResult:
         said = (F.col("probability") > threshold).cast("int")
         return evaluate.confusion_counts(self.scores.withColumn("_said", said), self.label, "_said")
 
+    def sizes(self) -> DataFrame:
+        return stage_sizes(self.stages)
+
     def importance(self, k: int | None = None) -> DataFrame:
         return forests.feature_importance(self.model, k)
 
@@ -51,6 +56,6 @@ class BinaryResult:
         save_model(self.model, path)
 
     def close(self) -> None:
-        for df in self._held:
+        for df in self.held:
             df.unpersist()
-        self._held.clear()
+        self.held.clear()

@@ -13,6 +13,7 @@ def local_session(app: str = "billrisk", cores: str = "*", **conf: str) -> Spark
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
     )

@@ -254,20 +254,15 @@ def filter_funnel(spark, d):
     })
 
 
-@query("stage_report", V.with_views("labelled") + f"""
-SELECT 1 AS step, 'bills' AS stage, count(*) AS "rows" FROM bills
-UNION ALL SELECT 2, 'cleaned', count(*) FROM bills WHERE {_F5}
-UNION ALL SELECT 3, 'labelled', count(*) FROM labelled WHERE {_F7}""")
-def stage_report(spark, d):
-    """Stage sizes observed while one aggregate runs over the last stage."""
-    report = profile.StageReport()
-    bills = report.watch(V.bills(spark, d), "bills")
-    cleaned = report.watch(clean.exclude_sources(clean.exclude_zero_bills(
-        clean.exclude_exempt(clean.keep_valid_rows(bills)))), "cleaned")
-    labelled = label.label_bills(cleaned, V.due_dates(spark, d), "as_of", V.AS_OF)
-    report.watch(clean.bound_days_late(labelled), "labelled").agg(F.count(F.lit(1))).collect()
-    rows = [(step, stage, n) for step, stage, n, _ in report.rows()]
-    return spark.createDataFrame(rows, "step int, stage string, rows bigint")
+@query("stage_sizes", V.with_views("labelled") + f"""
+SELECT 1 AS step, 'bills' AS stage, count(*) AS "rows", 49 AS "columns" FROM bills
+UNION ALL SELECT 2, 'cleaned', count(*), 49 FROM bills WHERE {_F5}
+UNION ALL SELECT 3, 'labelled', count(*), 57 FROM labelled WHERE {_F7}""")
+def stage_sizes(spark, d):
+    bills = V.bills(spark, d)
+    cleaned = clean.exclude_sources(clean.exclude_zero_bills(clean.exclude_exempt(clean.keep_valid_rows(bills))))
+    labelled = clean.bound_days_late(label.label_bills(cleaned, V.due_dates(spark, d), "as_of", V.AS_OF))
+    return profile.stage_sizes({"bills": bills, "cleaned": cleaned, "labelled": labelled})
 
 
 PIN_7 = "00055433"
