@@ -255,9 +255,9 @@ def filter_funnel(spark, d):
 
 
 @query("stage_sizes", V.with_views("labelled") + f"""
-SELECT 1 AS step, 'bills' AS stage, count(*) AS "rows", 49 AS "columns" FROM bills
-UNION ALL SELECT 2, 'cleaned', count(*), 49 FROM bills WHERE {_F5}
-UNION ALL SELECT 3, 'labelled', count(*), 57 FROM labelled WHERE {_F7}""")
+SELECT 1 AS step, 'bills' AS stage, count(*) AS "rows", 51 AS "columns" FROM bills
+UNION ALL SELECT 2, 'cleaned', count(*), 51 FROM bills WHERE {_F5}
+UNION ALL SELECT 3, 'labelled', count(*), 59 FROM labelled WHERE {_F7}""")
 def stage_sizes(spark, d):
     bills = V.bills(spark, d)
     cleaned = clean.exclude_sources(clean.exclude_zero_bills(clean.exclude_exempt(clean.keep_valid_rows(bills))))

@@ -6,7 +6,7 @@ they are there, amounts are doubles.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from billrisk.functions import flag
 from billrisk.operators import label
@@ -160,120 +160,106 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pin() -> Column:
-    return F.lpad(((F.col("o_custkey") * 7919) % 100000000).cast("string"), 8, "0")
-
-
-def _text(expr) -> Column:
-    return expr.cast("string")
+_PIN = "lpad(string((o_custkey * 7919) % 100000000), 8, '0') AS PIN"
+
+_BILL_COLUMNS = [
+    _PIN,
+    "int(year(l_shipdate) - l_linenumber % 2) AS TaxYear",
+    "if(l_quantity = 47, 'XX', 'PH') AS SegmentCode",
+    "CASE l_quantity WHEN 49 THEN '01' WHEN 48 THEN '03' ELSE '00' END AS TaxStatus",
+    "if(l_linestatus = 'O', '1', '3') AS BillType",
+    "string(year(l_shipdate)) AS BillYear",
+    "'0' AS TaxType",
+    "CASE l_returnflag WHEN 'A' THEN 'O' WHEN 'N' THEN 'P' END AS AccountStatus",
+    "if(l_returnflag = 'R', 'Y', 'N') AS PastTaxSaleStatus",
+    "if(l_quantity = 46, '00000000', date_format(date_add(date(l_shipdate), int(l_partkey % 60 - 30)), 'MMddyyyy'))"
+    " AS LastPaymentDate1",
+    "if(l_quantity = 50, '00000000', date_format(l_shipdate, 'MMddyyyy')) AS LastPaymentDate2",
+    "CASE l_suppkey % 25 WHEN 0 THEN '600' WHEN 1 THEN '000' WHEN 2 THEN NULL"
+    " ELSE string(420 + l_suppkey % 25) END AS LastPaymentSource1",
+    "CASE l_linenumber WHEN 7 THEN '527' WHEN 6 THEN NULL ELSE string(400 + l_linenumber) END AS LastPaymentSource2",
+    "if(l_tax = 0, 0D, l_extendedprice) AS AdjustedAmountDue1",
+    "l_extendedprice * 0.5D AS TaxAmountDue1",
+    "l_extendedprice * l_discount AS InterestAmountDue1",
+    "l_quantity AS CostAmountDue1",
+    "if(l_quantity < 5, 0D, l_extendedprice + l_quantity) AS TotalAmountDue1",
+    "l_extendedprice * 0.25D AS OriginalTaxDue2",
+    "l_discount AS AdjustedTaxDue2",
+    "l_discount * 100 AS TaxAmountDue2",
+    "l_tax * 10 AS InterestAmountDue2",
+    "l_quantity * 2 AS CostAmountDue2",
+    "l_extendedprice * 0.75D AS TotalAmountDue2",
+    "o_totalprice AS AssessedValuation",
+    "o_totalprice * 3 AS EqualizedEvaluation",
+    "l_tax AS TaxRate",
+    "CASE WHEN l_linenumber = 3 THEN l_extendedprice * 0.5D WHEN l_tax = 0 THEN 0D ELSE l_extendedprice END"
+    " AS LastPaymentReceivedAmount1",
+    "if(l_linenumber = 5, NULL, l_discount) AS LastPaymentReceivedAmount2",
+    "l_tax * 1000 AS HomeownerExemptAmount",
+    "l_discount * 500 AS SeniorExemptAmount",
+    "l_extendedprice * 0.55D AS TaxDueEstimated1",
+    "string(l_linenumber % 3) AS HomeownerExempt",
+    "string(l_suppkey % 3) AS SeniorExempt",
+    "string(l_partkey % 3) AS SeniorFreezeExempt",
+    "string(l_linenumber % 2) AS LongtimeHomeownersExempt",
+    "string(l_partkey % 4) AS VeteranExempt",
+    "string(l_orderkey % 3) AS ExemptStatus",
+    "string(l_orderkey % 5) AS BankruptStatus",
+    "if(l_partkey % 40 = 0, '1', '0') AS CondemnationStatus",
+    "string(l_suppkey % 2) AS MunicipalAcquisitionStatus",
+    "if(l_partkey % 20 = 0, '1', '0') AS AcquisitionStatus",
+    "if(l_partkey % 30 = 0, '1', '0') AS RefundStatus",
+    "if(l_partkey % 50 = 0, lpad(string(l_partkey), 7, '0'), '0000000') AS CofENumber",
+    "o_orderpriority AS TaxpayerPropertySuffix",
+    "string(l_suppkey % 30) AS TaxpayerPropertyTown",
+    "string(200 + l_partkey % 100) AS Classification",
+    "string(l_partkey % 600) AS Volume",
+    "string(10000 + l_suppkey) AS TaxCode",
+    "if(o_orderstatus = 'F', 'CHICAGO     ', 'CICERO      ') AS TaxpayerPropertyCity",
+    "CASE l_partkey % 10 WHEN 0 THEN 'IN' WHEN 1 THEN 'il' ELSE 'IL' END AS TaxpayerMailingState",
+]
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Use all cores for an input with fewer splits than cores; larger inputs stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 def bills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = F.col
-    rows = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), c("l_orderkey") == c("o_orderkey")
-    )
-    ship = F.to_date("l_shipdate")
-    price, qty, zero = c("l_extendedprice"), c("l_quantity"), F.lit(0.0)
-    part, supp, line = c("l_partkey"), c("l_suppkey"), c("l_linenumber")
-    first_paid = F.date_add(ship, (part % 60 - 30).cast("int"))
-
-    def one_in(n: int) -> Column:
-        return F.when(part % n == 0, "1").otherwise("0")
-
-    return rows.select(
-        _pin().alias("PIN"),
-        (F.year("l_shipdate") - line % 2).cast("int").alias("TaxYear"),
-        F.when(qty == 47, "XX").otherwise("PH").alias("SegmentCode"),
-        F.when(qty == 49, "01").when(qty == 48, "03").otherwise("00").alias("TaxStatus"),
-        F.when(c("l_linestatus") == "O", "1").otherwise("3").alias("BillType"),
-        _text(F.year("l_shipdate")).alias("BillYear"),
-        F.lit("0").alias("TaxType"),
-        F.when(c("l_returnflag") == "A", "O").when(c("l_returnflag") == "N", "P").alias("AccountStatus"),
-        F.when(c("l_returnflag") == "R", "Y").otherwise("N").alias("PastTaxSaleStatus"),
-        F.when(qty == 46, "00000000").otherwise(F.date_format(first_paid, "MMddyyyy")).alias("LastPaymentDate1"),
-        F.when(qty == 50, "00000000").otherwise(F.date_format(ship, "MMddyyyy")).alias("LastPaymentDate2"),
-        F.when(supp % 25 == 0, "600").when(supp % 25 == 1, "000").when(supp % 25 == 2, None)
-        .otherwise(_text(420 + supp % 25)).alias("LastPaymentSource1"),
-        F.when(line == 7, "527").when(line == 6, None).otherwise(_text(400 + line)).alias("LastPaymentSource2"),
-        F.when(c("l_tax") == 0, zero).otherwise(price).alias("AdjustedAmountDue1"),
-        (price * 0.5).alias("TaxAmountDue1"),
-        (price * c("l_discount")).alias("InterestAmountDue1"),
-        qty.alias("CostAmountDue1"),
-        F.when(qty < 5, zero).otherwise(price + qty).alias("TotalAmountDue1"),
-        (price * 0.25).alias("OriginalTaxDue2"),
-        c("l_discount").alias("AdjustedTaxDue2"),
-        (c("l_discount") * 100).alias("TaxAmountDue2"),
-        (c("l_tax") * 10).alias("InterestAmountDue2"),
-        (qty * 2).alias("CostAmountDue2"),
-        (price * 0.75).alias("TotalAmountDue2"),
-        c("o_totalprice").alias("AssessedValuation"),
-        (c("o_totalprice") * 3).alias("EqualizedEvaluation"),
-        c("l_tax").alias("TaxRate"),
-        F.when(line == 3, price * 0.5).when(c("l_tax") == 0, zero).otherwise(price).alias("LastPaymentReceivedAmount1"),
-        F.when(line != 5, c("l_discount")).alias("LastPaymentReceivedAmount2"),
-        (c("l_tax") * 1000).alias("HomeownerExemptAmount"),
-        (c("l_discount") * 500).alias("SeniorExemptAmount"),
-        (price * 0.55).alias("TaxDueEstimated1"),
-        _text(line % 3).alias("HomeownerExempt"),
-        _text(supp % 3).alias("SeniorExempt"),
-        _text(part % 3).alias("SeniorFreezeExempt"),
-        _text(line % 2).alias("LongtimeHomeownersExempt"),
-        _text(part % 4).alias("VeteranExempt"),
-        _text(c("l_orderkey") % 3).alias("ExemptStatus"),
-        _text(c("l_orderkey") % 5).alias("BankruptStatus"),
-        one_in(40).alias("CondemnationStatus"),
-        _text(supp % 2).alias("MunicipalAcquisitionStatus"),
-        one_in(20).alias("AcquisitionStatus"),
-        one_in(30).alias("RefundStatus"),
-        F.when(part % 50 == 0, F.lpad(_text(part), 7, "0")).otherwise("0000000").alias("CofENumber"),
-        c("o_orderpriority").alias("TaxpayerPropertySuffix"),
-        _text(supp % 30).alias("TaxpayerPropertyTown"),
-        _text(200 + part % 100).alias("Classification"),
-        _text(part % 600).alias("Volume"),
-        _text(10000 + supp).alias("TaxCode"),
-        F.when(c("o_orderstatus") == "F", "CHICAGO     ").otherwise("CICERO      ").alias("TaxpayerPropertyCity"),
-        F.when(part % 10 == 0, "IN").when(part % 10 == 1, "il").otherwise("IL").alias("TaxpayerMailingState"),
-    )
+    lines, orders = spread(table(spark, sf_dir, "lineitem"), "l_orderkey"), table(spark, sf_dir, "orders")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).selectExpr(*_BILL_COLUMNS)
 
 
 def due_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("Year")).distinct()
-    return years.select(
-        "Year", F.make_date("Year", F.lit(3), F.lit(1)).alias("PmtDue1"),
-        F.make_date("Year", F.lit(8), F.lit(1)).alias("PmtDue2"),
-    )
+    years = table(spark, sf_dir, "orders").selectExpr("year(o_orderdate) AS Year").distinct()
+    return years.selectExpr("Year", "make_date(Year, 3, 1) AS PmtDue1", "make_date(Year, 8, 1) AS PmtDue2")
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    priority = F.col("o_orderpriority")
-    return table(spark, sf_dir, "orders").select(
-        _pin().alias("PIN"), F.year("o_orderdate").alias("TaxYear4"),
-        F.when(priority == "1-URGENT", "P1").when(priority == "2-HIGH", "P2").otherwise("XX").alias("Payment"),
-        F.to_date("o_orderdate").alias("DatePaid"), F.col("o_orderstatus").alias("SourceID"),
-        F.col("o_totalprice").alias("TotalPaid"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        _PIN, "year(o_orderdate) AS TaxYear4",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'P1' WHEN '2-HIGH' THEN 'P2' ELSE 'XX' END AS Payment",
+        "date(o_orderdate) AS DatePaid", "o_orderstatus AS SourceID", "o_totalprice AS TotalPaid",
     )
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order, cust = F.col("o_orderkey"), F.col("o_custkey")
-    return table(spark, sf_dir, "orders").select(
-        order.alias("RowKey"), F.year("o_orderdate").alias("TaxYear"),
-        (((order * 31 + cust * 17) % 101).cast("double") / 100).alias("score"),
-        flag(F.month("o_orderdate") >= 8).alias("label"),
-        ((order * 13) % 10 + 1).cast("int").alias("pred_class"),
-        ((cust * 7) % 10 + 1).cast("int").alias("true_class"),
-        ((order * 37) % 499 + 1).cast("double").alias("true_days"),
-        ((cust * 53) % 499 + 1).cast("double").alias("pred_days"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS RowKey", "year(o_orderdate) AS TaxYear",
+        "double((o_orderkey * 31 + o_custkey * 17) % 101) / 100 AS score",
+        "if(month(o_orderdate) >= 8, 1, 0) AS label",
+        "int((o_orderkey * 13) % 10 + 1) AS pred_class", "int((o_custkey * 7) % 10 + 1) AS true_class",
+        "double((o_orderkey * 37) % 499 + 1) AS true_days", "double((o_custkey * 53) % 499 + 1) AS pred_days",
     )
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation, region = F.col("n_nationkey"), F.col("n_regionkey")
-    return table(spark, sf_dir, "nation").select(
-        _text(400 + nation).alias("srcID"), F.col("n_name").alias("PmtDesc"),
-        F.when(region == 0, "TPA").when(region == 1, "BANK").otherwise("MAIL").alias("PmtSrc"),
-        F.when(nation % 2 == 0, "CHECK").otherwise("WIRE").alias("PmtMethod"),
+    """Source codes 400-424 from the nations; a few of them are agents."""
+    return table(spark, sf_dir, "nation").selectExpr(
+        "string(400 + n_nationkey) AS srcID", "n_name AS PmtDesc",
+        "CASE n_regionkey WHEN 0 THEN 'TPA' WHEN 1 THEN 'BANK' ELSE 'MAIL' END AS PmtSrc",
+        "if(n_nationkey % 2 = 0, 'CHECK', 'WIRE') AS PmtMethod",
     )
 
 
