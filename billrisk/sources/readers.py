@@ -53,7 +53,11 @@ def read_bills(
     df = reader.schema(declared).csv(paths if isinstance(paths, str) else list(paths))
     if on_bad == "drop":
         fields = F.size(F.split(F.col(CORRUPT), "\\Q" + sep + "\\E"))
-        df = df.where(F.col(CORRUPT).isNull() | (fields <= len(names)))
+        # Spark refuses to read the raw line alone, so a plain count must touch
+        # a data column too; the second condition is always true.
+        first = F.col(names[0])
+        touched = first.isNull() | (F.length(first) >= 0)
+        df = df.where((F.col(CORRUPT).isNull() | (fields <= len(names))) & touched)
     columns = [F.col(n) for n in names]
     if year_pattern is not None:
         path = F.col("_metadata.file_path")
