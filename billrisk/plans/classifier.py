@@ -69,9 +69,13 @@ def simple_features(df: DataFrame) -> DataFrame:
 
 
 def history_table(cleaned: DataFrame, ledger: DataFrame, settings: ClassifierSettings) -> DataFrame:
-    """Flags, ledger roll-up and running history, before any value is learnt from the labels."""
-    joined = lookups.attach_ledger(simple_features(cleaned), lookups.ledger_rollup(ledger))
-    return history.history_sums(joined, max_rows_per_key=settings.max_rows_per_key)
+    """Flags, running history and ledger roll-up, before any value is learnt from the labels.
+
+    History comes first: its search for large accounts then reads the cleaned
+    bills only, without the join.
+    """
+    told = history.history_sums(simple_features(cleaned), max_rows_per_key=settings.max_rows_per_key)
+    return lookups.attach_ledger(told, lookups.ledger_rollup(ledger))
 
 
 def _train_rows(settings: ClassifierSettings):

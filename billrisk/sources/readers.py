@@ -37,9 +37,9 @@ def read_bills(
     """Scan yearly bill files (paths, folders or globs) in one pass.
 
     ``on_bad="drop"`` removes lines with too many fields and pads short ones
-    with null; ``"keep"`` keeps every line and ignores surplus fields.  The
-    raw line stays in the plan for this test because Spark stops noticing bad
-    lines once columns are pruned away.  ``year_pattern``, a regular expression
+    with null; ``"keep"`` keeps every line and ignores surplus fields.  For the
+    test the raw line stays in the plan and lines are parsed in full, because
+    Spark stops noticing bad lines once columns are pruned away.  ``year_pattern``, a regular expression
     with one group, adds ``SourceYear`` taken from the file path.
     """
     if on_bad not in ("keep", "drop"):
@@ -50,6 +50,7 @@ def read_bills(
     if on_bad == "drop":
         declared = declared.add(CORRUPT, T.StringType())
         reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+        reader = reader.option("columnPruning", False)
     df = reader.schema(declared).csv(paths if isinstance(paths, str) else list(paths))
     if on_bad == "drop":
         fields = F.size(F.split(F.col(CORRUPT), "\\Q" + sep + "\\E"))
