@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from billrisk.functions import as_int
 from billrisk.operators.ordering import running_sums
-from billrisk.operators.sizing import MAX_ROWS_PER_KEY, fetch_small, hot_keys
+from billrisk.operators.sizing import MAX_ROWS_PER_KEY, fetch_small, hot_keys, small_side
 
 
 @dataclass(frozen=True)
@@ -119,5 +119,5 @@ def _by_ranges(df, features, key, order) -> DataFrame:
             *[F.sum(f"_y_{o}").over(upto).alias(o) for o in sums],
         )
         match = F.col(key).eqNullSafe(F.col("_k")) & F.col(_YEAR).eqNullSafe(F.col("_y"))
-        out = out.join(yearly, match).drop("_k", "_y")
+        out = out.join(small_side(yearly), match).drop("_k", "_y")
     return out.select(*df.columns, *features)
