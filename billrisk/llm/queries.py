@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billrisk.llm import bpe, language_id, ngram_join
+from billrisk.llm import bpe, decontamination, language_id, ngram_join, quality_rules
 from billrisk.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -14,15 +14,91 @@ SQL: dict[str, str] = {}
 
 
 def _query(fn):
+    """Register a query under its function's name; ``sql`` is its DuckDB twin, if SQL can express it."""
     QUERIES[fn.__name__] = fn
     return fn
 
 
+def _sql(text: str):
+    def add(fn):
+        SQL[fn.__name__] = text
+        return fn
+    return add
+
+
 @_query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(read_table(spark, sf_dir, "documents"))
 
 
+# An alignment of a document and an item: the same shift between their places. Its matching places are counted
+# in every window of 13 words of the item (of all its words if it has 8 to 12).
+DECONTAMINATION_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p
+  FROM (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents)),
+item_words AS (
+  SELECT item_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS ip
+  FROM (SELECT item_id, list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark)
+  WHERE len(w) >= 8),
+same AS (SELECT doc_id, item_id, n, p - ip AS shift, ip FROM doc_words JOIN item_words USING (word)),
+likely AS (SELECT doc_id, item_id, shift FROM same GROUP BY ALL HAVING count(*) >= least(any_value(n), 11)),
+runs AS (
+  SELECT doc_id, item_id, n, count(*) OVER (
+      PARTITION BY doc_id, item_id, shift ORDER BY ip RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS matches
+  FROM same JOIN likely USING (doc_id, item_id, shift)),
+pairs AS (
+  SELECT DISTINCT doc_id, item_id FROM runs
+  WHERE CASE WHEN n >= 13 THEN matches >= 11 ELSE matches >= n END)
+"""
+
+
+@_query
+@_sql(DECONTAMINATION_SQL + "SELECT doc_id, count(*) AS n_items, list_sort(list(item_id)) AS item_ids FROM pairs GROUP BY doc_id")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUALITY_RULES_SQL = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, text, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM t),
+windows AS (SELECT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1)), lambda i: array_to_string(w[i:i+4], ' '))) AS win,
+                   unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM w),
+starts AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1),
+gaps AS (SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS g FROM starts),
+repeats AS (SELECT doc_id, sum(g)::BIGINT AS n FROM gaps GROUP BY doc_id),
+judged AS (
+  SELECT doc_id, w, lines, list_transform(list_transform(lines, lambda x: {'line': x,
+      'n': len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')),
+      'marks': len(regexp_extract_all(x, '[!?]+|[#*$%&<>]+')), 'bars': len(regexp_extract_all(x, '[|»›•·>]')),
+      'upper': len(regexp_extract_all(x, '\p{Lu}{2,}'))}), lambda y: {'line': y.line, 'ok':
+        regexp_matches(y.line, '[.!?…。！？:;]["''”’»)\]]*\s*$')
+        AND y.marks <= greatest(2.0, y.n * 0.3) AND y.bars <= greatest(1.0, y.n * 0.1)
+        AND y.upper <= greatest(2.0, y.n * 0.6)
+        AND NOT regexp_matches(y.line, '(?i)\b(cookies?|javascript|lorem ipsum|terms of (use|service)|privacy policy|all rights reserved|copyright|licensed under|subscribe|newsletter|sign (in|up)|log ?in|click here|read more)\b|[{}]')}) AS j,
+      text FROM w),
+counted AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+    len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    coalesce(list_sum(list_transform(lines, lambda x: length(x))), 0)::BIGINT AS total,
+    coalesce(list_sum(list_transform(list_filter(j, lambda y: y.ok), lambda y: length(y.line))), 0)::BIGINT AS left_chars,
+    array_to_string(list_transform(list_filter(j, lambda y: y.ok), lambda y: y.line), chr(10)) AS clean_text
+  FROM judged)
+SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines, coalesce(r.n, 0) AS n_repeat_words,
+  n_words < 10 OR 100 * coalesce(r.n, 0) > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * coalesce(r.n, 0) > 20 * n_words) AND 100 * (total - left_chars) <= 50 * total AS kept,
+  length(clean_text)::BIGINT AS n_chars_clean
+FROM counted c LEFT JOIN repeats r USING (doc_id)
+"""
+
+
+@_query
+@_sql(QUALITY_RULES_SQL)
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.clean_lines(read_table(spark, sf_dir, "documents")).drop("clean_text")
+
+
 @_query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
