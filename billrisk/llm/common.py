@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from billrisk.session import materialize, scratch_path
 
-__all__ = ["FrequencyClasses", "WordHashes", "materialize", "mix", "read_table", "shingle_hashes", "split_words", "written"]
+__all__ = ["FrequencyClasses", "WordHashes", "bind", "materialize", "mix", "read_table", "shingle_hashes", "split_words", "written"]
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -21,6 +21,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where the optimizer merges projections."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage with a Parquet table in the shared folder (compact, for wide rows)."""
     path = scratch_path(df.sparkSession, label)

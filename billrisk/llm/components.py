@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from billrisk.llm.common import materialize
 
@@ -33,28 +33,29 @@ def components(links: DataFrame) -> DataFrame:
         labels = jumped
 
 
-def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], star_rounds: int = 8) -> DataFrame:
+def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame],
+               near: Callable[[Column, Column], Column] | None = None, star_rounds: int = 8) -> DataFrame:
     """Verified links (a, b, ...) that join everything which any list should join.
 
-    ``lists`` (key, id): members of one key are candidates of each other.
-    ``verify`` takes pairs (a < b) and returns those that are links.  The
-    result need not hold every link, but two members of a list with a link are
-    always in one component of the result: while the pairs still open are many
-    more than the rows, members are held against one pivot of their list (a
-    "star", linear in its size); then every pair of members that are in
-    different components by now is verified.
+    ``lists`` (key, id, info), without repeated rows: members of one key are
+    candidates of each other.  ``near`` compares the infos of two members and
+    rules out pairs cheaply; ``verify`` takes pairs (a < b) and returns those
+    that are links.  The result need not hold every link, but two members of a
+    list with a link are always in one component of the result: while the pairs
+    still open are many more than the rows, members are held against one pivot
+    of their list (a "star", linear in its size); then every pair of members
+    that are in different components by now is verified.
     """
-    lists = lists.select("key", "id").where("key is not null and id is not null").distinct()
-    counts = materialize(lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"))
-    lists = materialize(lists.join(counts, "key").select("key", "id"))
-    links = labelled = None
+    lists = lists.select("key", "id", "info").where("key is not null and id is not null")
+    counts = lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    lists = materialize(lists.join(counts, "key").select("key", "id", "info"))
+    links = None
+    labelled = lists.withColumn("comp", F.col("id"))
     for turn in range(star_rounds + 1):
-        if links is None:
-            labelled = lists.withColumn("comp", F.col("id"))
-        else:
+        if links is not None:
             comp = components(links).withColumnRenamed("id", "of")
             labelled = materialize(lists.join(comp, lists.id == comp.of, "left")
-                                   .select("key", "id", F.coalesce("comp", "id").alias("comp")))
+                                   .select("key", "id", "info", F.coalesce("comp", "id").alias("comp")))
         parts = labelled.groupBy("key", "comp").agg(F.count("*").alias("m"))
         lead = parts.groupBy("key").agg(
             F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"), F.count("*").alias("parts"))
@@ -64,24 +65,27 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], star_
         if not open_pairs:
             break
         last = turn == star_rounds or open_pairs <= 4 * rows
-        keyed = labelled.join(lead.select("key", "top"), "key")
+        x = labelled.select("key", F.col("id").alias("x"), F.col("info").alias("ix"), F.col("comp").alias("cx"))
+        y = labelled.select("key", F.col("id").alias("y"), F.col("info").alias("iy"), F.col("comp").alias("cy"))
         if last:
-            left = materialize(keyed.where("comp <> top").select("key", F.col("id").alias("x"), F.col("comp").alias("cx")))
-            right = materialize(keyed.select("key", F.col("id").alias("y"), F.col("comp").alias("cy")))
-            pairs = left.join(right, "key").where("cx <> cy")
+            aside = materialize(x.join(lead.select("key", "top"), "key").where("cx <> top").drop("top"))
+            pairs = aside.join(y, "key")
         else:
             # a pivot that differs from turn to turn, so that some turn takes it from a large component
-            mark = F.xxhash64("id", F.lit(turn))
-            pivots = materialize(keyed.groupBy("key").agg(F.min(F.struct(mark.alias("mark"), "id", "comp")).alias("p"))
-                                 .select("key", F.col("p.id").alias("y"), F.col("p.comp").alias("cy")))
-            pairs = (labelled.select("key", F.col("id").alias("x"), F.col("comp").alias("cx"))
-                     .join(pivots, "key").where("x <> y and cx <> cy"))
+            mark = F.xxhash64("id", F.lit(turn)).alias("mark")
+            pivot = labelled.join(lead.select("key"), "key", "left_semi").groupBy("key").agg(
+                F.min(F.struct(mark, "id", "info", "comp")).alias("p"))
+            pivot = materialize(pivot.select(
+                "key", F.col("p.id").alias("y"), F.col("p.info").alias("iy"), F.col("p.comp").alias("cy")))
+            pairs = x.join(pivot, "key")
+        pairs = pairs.where("cx <> cy")
+        if near is not None:
+            pairs = pairs.where(near(F.col("ix"), F.col("iy")))
         pairs = materialize(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         found = verify(pairs)
         links = materialize(found if links is None else links.union(found))
         if last:
             break
     if links is None:
-        empty = lists.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")
-        links = materialize(verify(empty))
+        links = materialize(verify(lists.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")))
     return links

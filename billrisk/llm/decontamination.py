@@ -6,7 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from billrisk.session import materialize
+from billrisk.llm.common import bind, materialize
 
 WINDOW, MATCHES = 13, 11
 # Offsets a mask looks at; the other places of its span may differ.  Every window of 13 words with at most two
@@ -62,20 +62,25 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     # the places that document and item share under the alignment, and how many of them agree in each window
     texts = rows.withColumnRenamed("doc_id", "_id")
     aligned = hits.join(texts, F.col("doc_id").eqNullSafe(F.col("_id"))).join(F.broadcast(items) if small else items, "item_id")
-    aligned = aligned.select("doc_id", "item_id", "_shift", "_iw", word_hashes(F.col("_text")).alias("_w"))
-    first = F.greatest(F.lit(0), -F.col("_shift"))
-    last = F.least(F.size("_iw"), F.size("_w") - F.col("_shift")) - 1
-    agree = F.transform(F.sequence(first, last), lambda k: (F.get("_iw", k) == F.get("_w", k + F.col("_shift"))).cast("int"))
-    width = F.least(F.size("_iw"), F.lit(WINDOW))
-    aligned = aligned.where(last >= first).select(
-        "doc_id", "item_id", agree.alias("_agree"), width.alias("_width"),
-        F.when(width < WINDOW, width).otherwise(F.lit(MATCHES)).alias("_needed"))
-    sums = F.transform(F.sequence(F.lit(1), F.size("_agree") - F.col("_width") + 1),
-                       lambda i: F.aggregate(F.slice("_agree", i, F.col("_width")), F.lit(0), lambda a, x: a + x))
-    found = aligned.where(F.when(F.size("_agree") >= F.col("_width"), F.array_max(sums) >= F.col("_needed")).otherwise(F.lit(False)))
+    aligned = aligned.select("doc_id", "item_id", bind(
+        word_hashes(F.col("_text")), lambda w: _holds_passage(w, F.col("_iw"), F.col("_shift"))).alias("_found"))
+    found = aligned.where("_found")
     return found.select("doc_id", "item_id").distinct()
 
 
+def _holds_passage(words: Column, item: Column, shift: Column) -> Column:
+    """Whether enough words of some window of the item stand at the places that ``shift`` gives them."""
+    first = F.greatest(F.lit(0), -shift)
+    shared = F.greatest(F.lit(0), F.least(F.size(item), F.size(words) - shift) - first)
+    agree = F.zip_with(F.slice(item, first + 1, shared), F.slice(words, first + shift + 1, shared),
+                       lambda x, y: F.when(x == y, 1).otherwise(0))
+    width = F.least(F.size(item), F.lit(WINDOW))
+    needed = F.when(width < WINDOW, width).otherwise(F.lit(MATCHES))
+    best = bind(agree, lambda a: F.array_max(F.transform(
+        F.sequence(F.lit(1), F.size(a) - width + 1), lambda i: F.aggregate(F.slice(a, i, width), F.lit(0), lambda n, x: n + x))))
+    return F.when(shared >= width, best >= needed).otherwise(F.lit(False))
+
+
 def _seed_rows(rows: DataFrame, key: str, words: str, place: str) -> DataFrame:
     """(key, place, _seed): the seeds of every mask at every place where a whole span fits."""
     spans = rows.select(key, words, F.explode(F.sequence(F.lit(0), F.size(words) - SPAN)).alias(place))

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from billrisk.llm.common import FrequencyClasses, WordHashes, materialize, shingle_hashes, split_words, written
 from billrisk.llm.components import components, link_lists
@@ -115,9 +115,9 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("short").alias("short"))
     classes = written(classes, "gram-classes")
 
-    postings = classes.select(F.explode("short").alias("gram"), "cid", "n")
-    crowd = materialize(postings.groupBy("gram").agg(F.count("*").alias("m")).where("m > 1").select("gram"))
-    lists = materialize(postings.join(crowd, "gram").select(F.col("gram").alias("key"), F.col("cid").alias("id")))
+    postings = classes.select(F.explode("short").alias("key"), F.col("cid").alias("id"), F.col("n").alias("info"))
+    crowd = postings.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    lists = materialize(postings.join(crowd, "key"))
 
     # sets of the classes that occur in some list, from the text of one row of each
     busy = lists.select(F.col("id").alias("cid")).distinct()
@@ -125,19 +125,15 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     home = home.join(busy, "cid", "left_semi").select("home").distinct()
     keyed = texts.withColumn("home", F.coalesce("doc_id", F.lit(-1)))
     sets = written(_sets_of(keyed.join(home, "home", "left_semi"), k).dropDuplicates(["cid"]), "gram-members")
-    sizes = classes.select("cid", "n")
+    def near(x: Column, y: Column) -> Column:
+        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
     def verify(pairs: DataFrame) -> DataFrame:
-        x = sizes.select(F.col("cid").alias("a"), F.col("n").alias("na"))
-        y = sizes.select(F.col("cid").alias("b"), F.col("n").alias("nb"))
-        near = pairs.join(x, "a").join(y, "b").where(
-            f"100 * least(na, nb) >= {percent} * greatest(na, nb)").select("a", "b")
-        near = materialize(near)
         p = sets.select(F.col("cid").alias("a"), F.col("grams").alias("p"))
         q = sets.select(F.col("cid").alias("b"), F.col("grams").alias("q"))
-        return near.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(percent), "a long, b long")
+        return pairs.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(percent), "a long, b long")
 
-    comp = components(link_lists(lists, verify))
+    comp = components(link_lists(lists, verify, near))
     members = classes.select("cid", "rep").join(comp.withColumnRenamed("id", "cid"), "cid", "left").select(
         "cid", "rep", F.coalesce("comp", "cid").alias("comp"))
     least = members.groupBy("comp").agg(F.min("rep").alias("least"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, functions as F
 
+from billrisk.llm.common import bind
+
 SPACE = r"[\x20\x09-\x0D]+"
 _BLANKS = " \t\n\x0b\x0c\r"
 # Marks that close a sentence, and phrases of notices and licences.
@@ -14,11 +14,6 @@ _NOTICE = (r"(?i)\b(cookies?|javascript|lorem ipsum|terms of (use|service)|priva
            r"|licensed under|subscribe|newsletter|sign (in|up)|log ?in|click here|read more)\b|[{}]")
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def words_of(text: Column) -> Column:
     """Array of the words ``[^\\x20\\x09-\\x0D]+``; empty for null."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(_BLANKS))
@@ -43,13 +38,13 @@ def repeated_words(words: Column, window: int = 5) -> Column:
 
     def count(h: Column) -> Column:
         placed = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        starts = _let(placed, lambda s: F.array_sort(F.transform(
+        starts = bind(placed, lambda s: F.array_sort(F.transform(
             F.filter(s, lambda x, k: (F.when(k > 0, F.get(s, k - 1)["h"]) == x["h"]).eqNullSafe(True)
                      | (F.get(s, k + 1)["h"] == x["h"]).eqNullSafe(True)),
             lambda x: x["i"])))
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(_let(starts, covered))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(bind(starts, covered))
 
-    return F.when(n <= window, F.lit(0).cast("long")).otherwise(_let(hashes(words), count))
+    return F.when(n <= window, F.lit(0).cast("long")).otherwise(bind(hashes(words), count))
 
 
 def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -62,7 +57,7 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "doc_id", "text", F.size("_w").cast("long").alias("n_words"),
         F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
         F.coalesce(F.regexp_count("text", F.lit(r"[#*$%&|<>]")), F.lit(0)).cast("long").alias("n_symbols"),
-        _let(lines, lambda a: F.size(a) - F.size(F.array_distinct(a))).cast("long").alias("n_dup_lines"),
+        bind(lines, lambda a: F.size(a) - F.size(F.array_distinct(a))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("_w")).alias("n_repeat_words"))
 
 
@@ -100,7 +95,7 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = base_counts(docs, id_col, text_col)
     lines = F.transform(
         F.filter(F.split(F.coalesce(F.col("text"), F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
-        lambda x: _let(F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")), lambda n: F.struct(x.alias("line"), line_passes(x, n).alias("ok"))))
+        lambda x: bind(F.regexp_count(x, F.lit(r"[^\x20\x09-\x0D]+")), lambda n: F.struct(x.alias("line"), line_passes(x, n).alias("ok"))))
     rows = rows.withColumn("_lines", lines)
     kept_lines = F.transform(F.filter("_lines", lambda x: x["ok"]), lambda x: x["line"])
     total = F.aggregate("_lines", F.lit(0).cast("long"), lambda a, x: a + F.length(x["line"]))

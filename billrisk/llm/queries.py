@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billrisk.llm import bpe, decontamination, language_id, ngram_join, quality_rules
+from billrisk.llm import bpe, decontamination, language_id, line_dedup, ngram_join, quality_rules
 from billrisk.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,9 +54,15 @@ pairs AS (
 
 
 @_query
-@_sql(DECONTAMINATION_SQL + "SELECT doc_id, count(*) AS n_items, list_sort(list(item_id)) AS item_ids FROM pairs GROUP BY doc_id")
+@_sql(DECONTAMINATION_SQL + "SELECT doc_id, count(*) AS n_items, array_to_string(list_sort(list(item_id)), ',') AS item_ids FROM pairs GROUP BY doc_id")
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontamination.contaminated_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    found = decontamination.contaminated_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.withColumn("item_ids", F.array_join(F.transform("item_ids", lambda i: i.cast("string")), ","))
+
+
+@_query
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(read_table(spark, sf_dir, "documents"))
 
 
 QUALITY_RULES_SQL = r"""
