@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billrisk.llm import bpe, decontamination, language_id, line_dedup, ngram_join, quality_rules
+from billrisk.llm import bpe, decontamination, kneser_ney, language_id, line_dedup, ngram_join, quality_rules
 from billrisk.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = bpe.bpe_decode(bpe.bpe_encode(read_table(spark, sf_dir, "documents"), vocabulary), vocabulary)
     return tokens.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                          F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@_query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
