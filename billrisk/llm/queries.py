@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billrisk.llm import bpe, decontamination, kneser_ney, language_id, line_dedup, ngram_join, quality_rules
+from billrisk.llm import bpe, decontamination, html_extraction, kneser_ney, language_id, line_dedup, ngram_join, quality_rules
 from billrisk.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,9 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@_query
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extraction.extract_main_text(read_table(spark, sf_dir, "pages"))
+    return pages.withColumn("n_chars", F.length("text").cast("long"))
