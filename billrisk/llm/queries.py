@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billrisk.llm import bpe, decontamination, html_extraction, kneser_ney, language_id, line_dedup, ngram_join, quality_rules
+from billrisk.llm import bpe, decontamination, html_extraction, kneser_ney, language_id, line_dedup, masked_lm, ngram_join, quality_rules
 from billrisk.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,11 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = html_extraction.extract_main_text(read_table(spark, sf_dir, "pages"))
     return pages.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@_query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scores = masked_lm.score_documents(docs, masked_lm.fit_masked_model(docs))
+    return scores.withColumn("mean_log_probability", F.round(F.col("log_likelihood") / F.col("n_tokens"), 3)).withColumn(
+        "log_likelihood", F.round("log_likelihood", 1))
