@@ -6,7 +6,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from billrisk.llm.common import bind, materialize
+from billrisk.llm.common import bind, materialize, without
 
 WINDOW, MATCHES = 13, 11
 # Offsets a mask looks at; the other places of its span may differ.  Every window of 13 words with at most two
@@ -101,5 +101,4 @@ def contaminated_documents(docs: DataFrame, benchmark: DataFrame, id_col: str =
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` without those that overlap a benchmark item; rows with a null id are judged together."""
-    bad = find_overlaps(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    return without(docs, find_overlaps(docs, benchmark, id_col, text_col).select("doc_id"), id_col)

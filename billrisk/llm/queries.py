@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billrisk.llm import bpe, decontamination, html_extraction, kneser_ney, language_id, line_dedup, masked_lm, ngram_join, quality_rules
+from billrisk.llm import bpe, decontamination, html_extraction, kneser_ney, language_id, line_dedup, masked_lm, ngram_join, quality_rules, substring_dedup
 from billrisk.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,11 @@ def _sql(text: str):
     return add
 
 
+@_query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(read_table(spark, sf_dir, "documents"))
+
+
 @_query
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(read_table(spark, sf_dir, "documents"))
