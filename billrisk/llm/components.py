@@ -22,34 +22,40 @@ def components(links: DataFrame) -> DataFrame:
     labels = materialize(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
                          .select("id", F.least("id", "m").alias("comp")))
     while True:
-        offers = edges.join(labels, edges.a == labels.id).select(F.col("b").alias("id"), "comp")
-        nearer = materialize(offers.union(labels).groupBy("id").agg(F.min("comp").alias("comp")))
+        offers = edges.join(labels, edges.a == labels.id).select(F.col("b").alias("id"), "comp", F.lit(None).cast(labels.schema["id"].dataType).alias("old"))
+        held = labels.select("id", "comp", F.col("comp").alias("old"))
+        nearer = materialize(offers.union(held).groupBy("id").agg(F.min("comp").alias("comp"), F.max("old").alias("old")))
         up = nearer.select(F.col("id").alias("up"), F.col("comp").alias("root"))
-        jumped = materialize(nearer.join(up, nearer.comp == up.up, "left")
-                             .select("id", F.coalesce("root", "comp").alias("comp")))
-        before = labels.select(F.col("id").alias("was"), F.col("comp").alias("old"))
-        if jumped.join(before, jumped.id == before.was).where("comp <> old").isEmpty():
-            return jumped
-        labels = jumped
+        labels = materialize(nearer.join(up, nearer.comp == up.up, "left")
+                             .select("id", F.coalesce("root", "comp").alias("comp"), "old"))
+        if labels.where("comp <> old").isEmpty():
+            return labels.drop("old")
+        labels = labels.drop("old")
 
 
 def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame],
-               near: Callable[[Column, Column], Column] | None = None, star_rounds: int = 8) -> DataFrame:
+               near: Callable[[Column, Column], Column] | None = None, infos: DataFrame | None = None,
+               star_rounds: int = 8) -> DataFrame:
     """Verified links (a, b, ...) that join everything which any list should join.
 
-    ``lists`` (key, id, info), without repeated rows: members of one key are
-    candidates of each other.  ``near`` compares the infos of two members and
-    rules out pairs cheaply; ``verify`` takes pairs (a < b) and returns those
-    that are links.  The result need not hold every link, but two members of a
-    list with a link are always in one component of the result: while the pairs
-    still open are many more than the rows, members are held against one pivot
-    of their list (a "star", linear in its size); then every pair of members
-    that are in different components by now is verified.
+    ``lists`` (key, id), without repeated rows: members of one key are
+    candidates of each other.  ``infos`` (id, info) go to the lists that have
+    two members or more, unless the lists hold that column; ``near`` compares
+    the infos of two members and rules out pairs cheaply; ``verify`` takes pairs
+    (a < b) and returns those that are links.  The result need not hold every
+    link, but two members of a list with a link are always in one component of
+    the result: while the pairs still open are many more than the rows and
+    become fewer, members are held against one pivot of their list (a "star",
+    linear in its size); then every pair of members that are in different
+    components by now is verified.
     """
-    lists = lists.select("key", "id", "info").where("key is not null and id is not null")
-    counts = lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    lists = materialize(lists.join(counts, "key").select("key", "id", "info"))
-    links = None
+    kept = lists.where("key is not null and id is not null")
+    counts = kept.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
+    lists = kept.join(counts, "key")
+    if infos is not None:
+        lists = materialize(lists.select("key", "id")).join(infos, "id")
+    lists = materialize(lists.select("key", "id", "info"))
+    links, before, budget = None, None, 64 * lists.count()
     labelled = lists.withColumn("comp", F.col("id"))
     for turn in range(star_rounds + 1):
         if links is not None:
@@ -61,10 +67,11 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame],
             F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"), F.count("*").alias("parts"))
         lead = materialize(lead.where("parts > 1").select(
             "key", "all", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.m")).alias("rest")))
-        open_pairs, rows = lead.agg(F.sum(F.col("rest") * F.col("all")), F.sum("all")).first()
+        open_pairs = lead.agg(F.sum(F.col("rest") * F.col("all"))).first()[0]
         if not open_pairs:
             break
-        last = turn == star_rounds or open_pairs <= 4 * rows
+        last = turn == star_rounds or open_pairs <= budget or (before is not None and open_pairs > 0.7 * before)
+        before = open_pairs
         x = labelled.select("key", F.col("id").alias("x"), F.col("info").alias("ix"), F.col("comp").alias("cx"))
         y = labelled.select("key", F.col("id").alias("y"), F.col("info").alias("iy"), F.col("comp").alias("cy"))
         if last:

@@ -30,8 +30,17 @@ def _needed(n: int | np.ndarray, percent: int):
     return -(-n * percent // 100)
 
 
+_SKETCH = 8  # 64-bit words of parity bits per set
+
+
+def _parity(grams: np.ndarray) -> np.ndarray:
+    """Bits that each member flips: two sets differ in at least as many members as their sketches differ in bits."""
+    bits = np.bincount((grams >> np.uint64(20)).astype(np.int64) % (64 * _SKETCH), minlength=64 * _SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def gram_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, classes: FrequencyClasses) -> DataFrame:
-    """(doc_id, n, cid, short) per row: size and identity of its set, and the n-grams of its short lists.
+    """(doc_id, n, cid, short, sketch) per row: size, identity and parity bits of its set, the n-grams of its short lists.
 
     With T the overlap that any partner must reach, the T - 1 most frequent
     n-grams are the long lists; a partner must share one of the other
@@ -41,7 +50,7 @@ def gram_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     def build(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         grams_of = _grams_of(k)()
         for batch in batches:
-            ids, sizes, cids, short = batch.column(0).to_pylist(), [], [], []
+            ids, sizes, cids, short, sketch = batch.column(0).to_pylist(), [], [], [], []
             for text in batch.column(1).to_pylist():
                 grams = grams_of(text)
                 n = len(grams)
@@ -50,12 +59,14 @@ def gram_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
                 sizes.append(n)
                 cids.append(_class_id(grams) if n else None)
                 short.append(grams[order].view(np.int64))
+                sketch.append(_parity(grams))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(cids, pa.int64()),
-                 pa.array(short, pa.list_(pa.int64()))], ["doc_id", "n", "cid", "short"])
+                 pa.array(short, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
+                ["doc_id", "n", "cid", "short", "sketch"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(build, "doc_id long, n long, cid long, short array<long>")
+    return rows.mapInArrow(build, "doc_id long, n long, cid long, short array<long>, sketch array<long>")
 
 
 def _sets_of(rows: DataFrame, k: int) -> DataFrame:
@@ -91,7 +102,7 @@ def _probe(percent: int):
 
 
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
-                       percent: int = 90) -> DataFrame:
+                       percent: int = 90, broadcast_rows: int = 500_000) -> DataFrame:
     """(doc_id, n_shingles, component_id, class_id): one row per row of ``docs``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a document's set
@@ -100,7 +111,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``component_id`` is the smallest id that links reach.  Rows with equal sets
     are one class and searched once.  Candidates come from the short inverted
     lists; the long ones are never joined but probed by binary search for each
-    candidate.  Hashes of 64 bits stand for n-grams.
+    candidate that parity bits of the sets do not rule out.  Hashes of 64 bits stand for n-grams.
 
     Null or wordless text: no shingle, linked with nothing, its own component.
     Null ids: the row is returned with its set size; it may connect others but
@@ -112,28 +123,29 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     counted = FrequencyClasses.count(texts, "text", _grams_of(k))
     rows = written(gram_sets(texts, "doc_id", "text", k, percent, counted), "gram-sets")
     classes = rows.where("cid is not null").groupBy("cid").agg(
-        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("short").alias("short"))
+        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("short").alias("short"),
+        F.min("sketch").alias("sketch"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("home"))
     classes = written(classes, "gram-classes")
 
-    postings = classes.select(F.explode("short").alias("key"), F.col("cid").alias("id"), F.col("n").alias("info"))
-    crowd = postings.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    lists = materialize(postings.join(crowd, "key"))
-
-    # sets of the classes that occur in some list, from the text of one row of each
-    busy = lists.select(F.col("id").alias("cid")).distinct()
-    home = rows.where("cid is not null").groupBy("cid").agg(F.min(F.coalesce("doc_id", F.lit(-1))).alias("home"))
-    home = home.join(busy, "cid", "left_semi").select("home").distinct()
+    lists = classes.select(F.explode("short").alias("key"), F.col("cid").alias("id"))
+    infos = classes.select(F.col("cid").alias("id"), F.struct("n", "sketch").alias("info"))
     keyed = texts.withColumn("home", F.coalesce("doc_id", F.lit(-1)))
-    sets = written(_sets_of(keyed.join(home, "home", "left_semi"), k).dropDuplicates(["cid"]), "gram-members")
-    def near(x: Column, y: Column) -> Column:
-        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        p = sets.select(F.col("cid").alias("a"), F.col("grams").alias("p"))
-        q = sets.select(F.col("cid").alias("b"), F.col("grams").alias("q"))
-        return pairs.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(percent), "a long, b long")
-
-    comp = components(link_lists(lists, verify, near))
+    def near(x: Column, y: Column) -> Column:
+        # two sets as similar as asked differ in at most (n + m) * (100 - percent) / (100 + percent) members
+        flips = [F.bit_count(F.get(x["sketch"], i).bitwiseXOR(F.get(y["sketch"], i))) for i in range(_SKETCH)]
+        return (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])) & (
+            sum(flips[1:], flips[0]) * (100 + percent) <= (x["n"] + y["n"]) * (100 - percent))
+
+    def verify(close: DataFrame) -> DataFrame:
+        busy = close.select(F.col("a").alias("cid")).union(close.select(F.col("b"))).distinct()
+        homes = materialize(classes.join(busy, "cid", "left_semi").select("home").distinct())
+        side = F.broadcast(homes) if homes.count() <= broadcast_rows else homes
+        sets = written(_sets_of(keyed.join(side, "home", "left_semi"), k).dropDuplicates(["cid"]), "gram-members")
+        p, q = sets.select(F.col("cid").alias("a"), F.col("grams").alias("p")), sets.select(F.col("cid").alias("b"), F.col("grams").alias("q"))
+        return close.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(percent), "a long, b long")
+
+    comp = components(link_lists(lists, verify, near, infos))
     members = classes.select("cid", "rep").join(comp.withColumnRenamed("id", "cid"), "cid", "left").select(
         "cid", "rep", F.coalesce("comp", "cid").alias("comp"))
     least = members.groupBy("comp").agg(F.min("rep").alias("least"))
