@@ -55,7 +55,7 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame],
     if infos is not None:
         lists = materialize(lists.select("key", "id")).join(infos, "id")
     lists = materialize(lists.select("key", "id", "info"))
-    links, before, budget = None, None, 64 * lists.count()
+    links, before, budget = None, None, 3 * lists.count()
     labelled = lists.withColumn("comp", F.col("id"))
     for turn in range(star_rounds + 1):
         if links is not None:

@@ -127,17 +127,18 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.min("sketch").alias("sketch"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("home"))
     classes = written(classes, "gram-classes")
 
-    lists = classes.select(F.explode("short").alias("key"), F.col("cid").alias("id"))
-    infos = classes.select(F.col("cid").alias("id"), F.struct("n", "sketch").alias("info"))
+    lists = classes.select(F.explode("short").alias("key"), F.col("cid").alias("id"), F.col("n").alias("info"))
     keyed = texts.withColumn("home", F.coalesce("doc_id", F.lit(-1)))
 
     def near(x: Column, y: Column) -> Column:
-        # two sets as similar as asked differ in at most (n + m) * (100 - percent) / (100 + percent) members
-        flips = [F.bit_count(F.get(x["sketch"], i).bitwiseXOR(F.get(y["sketch"], i))) for i in range(_SKETCH)]
-        return (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"])) & (
-            sum(flips[1:], flips[0]) * (100 + percent) <= (x["n"] + y["n"]) * (100 - percent))
+        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
 
-    def verify(close: DataFrame) -> DataFrame:
+    def verify(pairs: DataFrame) -> DataFrame:
+        # two sets as similar as asked differ in at most (n + m) * (100 - percent) / (100 + percent) members
+        p, q = (classes.select(F.col("cid").alias(c), F.col("n").alias("n" + c), F.col("sketch").alias("s" + c)) for c in "ab")
+        flips = [F.bit_count(F.get("sa", i).bitwiseXOR(F.get("sb", i))) for i in range(_SKETCH)]
+        close = materialize(pairs.join(p, "a").join(q, "b").where(
+            sum(flips[1:], flips[0]) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b"))
         busy = close.select(F.col("a").alias("cid")).union(close.select(F.col("b"))).distinct()
         homes = materialize(classes.join(busy, "cid", "left_semi").select("home").distinct())
         side = F.broadcast(homes) if homes.count() <= broadcast_rows else homes
@@ -145,7 +146,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         p, q = sets.select(F.col("cid").alias("a"), F.col("grams").alias("p")), sets.select(F.col("cid").alias("b"), F.col("grams").alias("q"))
         return close.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(percent), "a long, b long")
 
-    comp = components(link_lists(lists, verify, near, infos))
+    comp = components(link_lists(lists, verify, near))
     members = classes.select("cid", "rep").join(comp.withColumnRenamed("id", "cid"), "cid", "left").select(
         "cid", "rep", F.coalesce("comp", "cid").alias("comp"))
     least = members.groupBy("comp").agg(F.min("rep").alias("least"))
