@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from billrisk.functions import flag
+from billrisk.functions import flag, log_plus_one
 from billrisk.operators.sizing import fetch_small
 
 _SCHEMA = "feature string, value string, woe double"
@@ -91,20 +91,37 @@ def one_hot(
     return out if keep else out.drop(*values)
 
 
-def discover_values(df: DataFrame, columns: Sequence[str], max_values: int = 2_000) -> dict[str, list[str]]:
+def log_transform(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """log(x + 1) in place of each column, in one projection."""
+    return df.withColumns({c: log_plus_one(F.col(c)) for c in columns})
+
+
+def discover_values(df: DataFrame, columns: Sequence[str]) -> dict[str, list[str]]:
     """The sorted categories of each column, for ``one_hot``.
 
-    More than ``max_values`` in all is an error: that many new columns are no
-    longer a table, and nothing may be left out silently.
+    Each becomes a column name, so they are read to the driver as part of the
+    schema.  For columns with many values use ``one_hot_vector``.
     """
     pairs = F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns
     ])
     found = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
-    rows = fetch_small(found, max_values)
-    if rows is None:
-        raise ValueError(f"more than {max_values} categories in {list(columns)}")
+    rows = found.collect()
     out: dict[str, list[str]] = {c: [] for c in columns}
     for row in sorted(rows):
         out[row["feature"]].append(row["value"])
     return out
+
+
+def one_hot_vector(df: DataFrame, columns: Sequence[str], out: str = "encoded") -> DataFrame:
+    """All categories of the columns in one sparse vector column each, ``<column>_<out>``; null is a category of its own."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+
+    indices = [f"_{c}_index" for c in columns]
+    text = df.withColumns({f"_{c}_text": F.col(c).cast("string") for c in columns})
+    index = StringIndexer(inputCols=[f"_{c}_text" for c in columns], outputCols=indices, handleInvalid="keep",
+                          stringOrderType="alphabetAsc")
+    encoder = OneHotEncoder(inputCols=indices, outputCols=[f"{c}_{out}" for c in columns], dropLast=False, handleInvalid="keep")
+    made = Pipeline(stages=[index, encoder]).fit(text).transform(text)
+    return made.drop(*indices, *[f"_{c}_text" for c in columns])

@@ -89,24 +89,31 @@ def accuracy(df: DataFrame, actual: str = "actual", predicted: str = "predicted"
 
 
 def assign_decile(
-    df: DataFrame, score: str = "probability", key: str = "PIN", q: int = 10, out: str = "DecileRank",
+    df: DataFrame, score: str = "probability", key: str | Sequence[str] = "PIN", q: int = 10, out: str = "DecileRank",
 ) -> DataFrame:
-    """Decile 1 holds the highest scores; equal scores are ordered by key.
+    """Decile 1 holds the highest scores; equal scores are ordered by the key columns.
 
     Cuts are those of equal-frequency binning of the ranks 1..n.  The rank is
     exact and found by range partitioning, not by one window over all rows.
     """
-    ranked = row_numbers(df, [F.col(score).desc_nulls_last(), F.col(key).asc_nulls_first()], "_rank", total="_rows")
+    keys = [key] if isinstance(key, str) else list(key)
+    order = [F.col(score).desc_nulls_last(), *[F.col(k).asc_nulls_first() for k in keys]]
+    ranked = row_numbers(df, order, "_rank", total="_rows")
     step = F.ceil(F.try_divide((F.col("_rank") - 1) * q, F.col("_rows") - 1))
     decile = F.greatest(F.lit(1), step)
     return ranked.withColumn(out, decile.cast("int")).drop("_rank", "_rows")
 
 
 def gain_lift(
-    df: DataFrame, score: str = "probability", label: str = "LatePmt2", key: str = "PIN", q: int = 10,
+    df: DataFrame, score: str = "probability", label: str = "LatePmt2", key: str | Sequence[str] = "PIN", q: int = 10,
 ) -> DataFrame:
-    """Late payments found per decile of the score, their share, running share and lift."""
-    ranked = assign_decile(df.select(score, label, key), score, key, q)
+    """Late payments found per decile of the score, their share, running share and lift.
+
+    Rows equal in score and key are ordered by label, so the table is the same
+    for any partitioning.
+    """
+    keys = dict.fromkeys([*([key] if isinstance(key, str) else key), label])
+    ranked = assign_decile(df.select(score, *keys), score, list(keys), q)
     table = ranked.groupBy("DecileRank").agg(
         F.count(label).alias("DecileN"), F.sum(label).alias("GainN"),
     )

@@ -74,7 +74,11 @@ def history_table(cleaned: DataFrame, ledger: DataFrame, settings: ClassifierSet
     History comes first: its search for large accounts then reads the cleaned
     bills only, without the join.
     """
-    told = history.history_sums(simple_features(cleaned), max_rows_per_key=settings.max_rows_per_key)
+    rows = simple_features(cleaned)
+    # bills of one account and year are ordered by a hash of the row, so that row-wise sums do not
+    # depend on the partitioning; rows with equal hashes are equal and may stand in any order
+    rows = rows.withColumn("_row", F.xxhash64(*sorted(rows.columns)))
+    told = history.history_sums(rows, tie_break=["_row"], max_rows_per_key=settings.max_rows_per_key).drop("_row")
     return lookups.attach_ledger(told, lookups.ledger_rollup(ledger))
 
 

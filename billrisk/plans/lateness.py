@@ -30,7 +30,8 @@ class LatenessSettings:
     base_year: int = FIRST_YEAR
     train_share: float = 0.8
     seed: int = 42
-    forest: forests.ForestSettings = forests.MULTICLASS
+    forest: forests.ForestSettings | None = None  # by default that of the job: MULTICLASS or REGRESSOR
+    incomplete_scope: str = "projected"  # rows with a null are dropped by the kept columns, or by "all"
 
 
 @dataclass
@@ -51,6 +52,10 @@ class LatenessResult:
 
 def _prepare(bills: DataFrame, settings: LatenessSettings) -> DataFrame:
     columns = [c for c in SIDE_MODEL_COLUMNS if c in bills.columns]
+    if settings.incomplete_scope not in ("projected", "all"):
+        raise ValueError("incomplete_scope is 'projected' or 'all'")
+    if settings.incomplete_scope == "all":
+        bills = clean.drop_incomplete(bills)
     rows = clean.drop_incomplete(bills.select(YEAR, *columns))
     typed = clean.cast_numeric(rows, [*NUMERIC_COLUMNS, *EXEMPTION_AMOUNTS])
     return typed.where(
@@ -89,27 +94,28 @@ def labelled_and_target(
     return labelled, _numbers(target, settings)
 
 
-def _run(bills, calendar, settings, label_column, stratify, train) -> LatenessResult:
+def _run(bills, calendar, settings, label_column, stratify, train, forest) -> LatenessResult:
     labelled, target = labelled_and_target(bills, calendar, settings)
     features = forests.feature_columns(labelled, exclude=[KEY, YEAR, "DiffPmt2", "LateLabel"])
-    # The split is drawn by account and year, which names a bill.  It reads its
-    # input more than once, so the narrow feature table is cached.
-    bill = F.concat_ws("#", KEY, YEAR).alias("_bill")
+    # The split is drawn by account, year and a hash of the row, so that bills
+    # of one account and year have an order of their own.  It reads its input
+    # more than once, so the narrow feature table is cached.
+    bill = F.concat_ws("#", KEY, YEAR, F.xxhash64(*sorted(labelled.columns))).alias("_bill")
     wanted = dict.fromkeys([KEY, *features, label_column, stratify])
     table = clean.fill_zero(labelled.select(bill, *wanted), features).persist()
     marked = split.mark_stratified(table, stratify, "_bill", settings.train_share, settings.seed)
     train_rows, test_rows = split.parts(marked)
-    fitted = train(train_rows, features, label_column, settings.forest)
+    fitted = train(train_rows, features, label_column, settings.forest or forest)
     tested = forests.score(fitted, test_rows).select(
         KEY, F.col(label_column).cast("double").alias("actual"), F.col("prediction").alias("predicted")
-    )
+    ).persist()
     scored = forests.score(fitted, clean.fill_zero(target, features))
-    return LatenessResult(fitted, tested, scored, features, [table])
+    return LatenessResult(fitted, tested, scored, features, [tested, table])
 
 
 def run_multiclass(bills: DataFrame, calendar: DataFrame, settings: LatenessSettings) -> LatenessResult:
     """Class forest; target rows get the class and its text."""
-    result = _run(bills, calendar, settings, "LateLabel", "LateLabel", forests.train_classifier)
+    result = _run(bills, calendar, settings, "LateLabel", "LateLabel", forests.train_classifier, forests.MULTICLASS)
     late = F.col("prediction").cast("int")
     result.scored = result.scored.select(
         KEY, late.alias("PredictionClassLabel"), late_class_text(late).alias("PredictionResult")
@@ -119,7 +125,7 @@ def run_multiclass(bills: DataFrame, calendar: DataFrame, settings: LatenessSett
 
 def run_days(bills: DataFrame, calendar: DataFrame, settings: LatenessSettings) -> LatenessResult:
     """Day forest; target rows get the predicted days late."""
-    result = _run(bills, calendar, settings, "DiffPmt2", "DiffPmt2", forests.train_regressor)
+    result = _run(bills, calendar, settings, "DiffPmt2", "DiffPmt2", forests.train_regressor, forests.REGRESSOR)
     result.scored = result.scored.select(KEY, F.col("prediction").alias("PredictionDaysLate"))
     return result
 

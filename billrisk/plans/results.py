@@ -37,7 +37,7 @@ class BinaryResult:
         rows = self.scores
         if self.score_digits is not None:
             rows = rows.withColumn("probability", F.round("probability", self.score_digits))
-        return evaluate.gain_lift(rows, "probability", self.label, "PIN")
+        return evaluate.gain_lift(rows, "probability", self.label, ["PIN", "TaxYear"])
 
     def confusion(self, threshold: float = 0.5) -> DataFrame:
         said = (F.col("probability") > threshold).cast("int")

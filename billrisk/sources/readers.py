@@ -66,6 +66,28 @@ def read_bills(
     return df.select(*columns)
 
 
+def _read_by_name(spark: SparkSession, paths: str | Sequence[str], sep: str, wanted: Sequence[str]) -> DataFrame:
+    """Text columns of files with a header line each, by name.
+
+    Spark gives all files of one scan the names of one of them, by position.
+    So the header line of every file is read first, and files with the same
+    header are scanned together.
+    """
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for file in spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles():
+        layouts.setdefault(tuple(schema_from_header(spark, file, sep).names), []).append(file)
+    frames = []
+    for names, files in sorted(layouts.items()):
+        missing = [name for name in wanted if name not in names]
+        if missing:
+            raise ValueError(f"no column {missing} in {files}")
+        frames.append(spark.read.option("sep", sep).option("header", True).option("enforceSchema", True)
+                      .schema(text_schema(list(names))).csv(files).select(*wanted))
+    if not frames:
+        return spark.createDataFrame([], text_schema(wanted))
+    return reduce(DataFrame.unionByName, frames)
+
+
 def read_payments(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -74,13 +96,12 @@ def read_payments(
 ) -> DataFrame:
     """Payment ledger with a header line; comma or pipe separated.
 
-    Columns are found by name in each file, so only the wanted ones are kept.
-    The date is ``yyMMdd`` text padded with blanks.
+    Columns are found by name in each file, whatever their order there; other
+    columns are left out and a missing one is an error.  The date is ``yyMMdd``
+    text padded with blanks.
     """
     wanted = list(columns or LEDGER_COLUMNS)
-    raw = spark.read.option("sep", sep).option("header", True).csv(
-        paths if isinstance(paths, str) else list(paths)
-    ).select(*wanted)
+    raw = _read_by_name(spark, paths, sep, wanted)
     casts = {
         "TaxYear4": as_int(F.col("TaxYear4")) if "TaxYear4" in wanted else None,
         "DatePaid": parse_date(F.trim("DatePaid"), LEDGER_DATE_FORMAT) if "DatePaid" in wanted else None,
@@ -91,7 +112,7 @@ def read_payments(
 
 def read_due_dates(spark: SparkSession, path: str, min_year: int = FIRST_YEAR) -> DataFrame:
     """Calendar ``Year, Inst1, Inst2`` as ``Year, PmtDue1, PmtDue2`` from ``min_year`` on."""
-    raw = spark.read.option("header", True).csv(path)
+    raw = _read_by_name(spark, path, ",", ["Year", "Inst1", "Inst2"])
     return raw.select(
         as_int(F.col("Year")).alias("Year"),
         parse_date(F.col("Inst1"), DUE_DATE_FORMAT).alias("PmtDue1"),

@@ -121,12 +121,13 @@ def bills_parquet_years(spark, d):
 
 
 @query("union_years", V.with_views("bills") + """
-SELECT "PIN", "TaxYear", "AdjustedAmountDue1" FROM bills WHERE "TaxYear" BETWEEN 1995 AND 1999
+SELECT "PIN", "TaxYear", "AdjustedAmountDue1" FROM bills
 UNION ALL
-SELECT "PIN", "TaxYear", "AdjustedAmountDue1" FROM bills WHERE "TaxYear" = 1995""")
+SELECT "PIN", "TaxYear", "AdjustedAmountDue1" FROM bills WHERE "TaxYear" = (SELECT min("TaxYear") FROM bills)""")
 def union_years_query(spark, d):
     rows = V.bills(spark, d).select("PIN", "TaxYear", "AdjustedAmountDue1")
-    years = [rows.where(F.col("TaxYear") == y) for y in range(1995, 2000)]
+    known = sorted(r["TaxYear"] for r in rows.select("TaxYear").distinct().collect())
+    years = [rows.where(F.col("TaxYear") == y) for y in known]
     return union_years([union_years(years), years[0].toDF("a", "b", "c")], by_name=False)
 
 

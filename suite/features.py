@@ -9,7 +9,7 @@ from billrisk.operators import clean, encode, history
 from billrisk.plans import BacktestSettings, ClassifierSettings, LatenessSettings
 from billrisk.plans import clean_bills, feature_table, labelled_and_target, one_hot_table
 from billrisk.plans.classifier import history_table
-from billrisk.schema import NO_CERTIFICATE_TEXT, ONE_HOT_SOURCES
+from billrisk.schema import LOG_COLUMNS, NO_CERTIFICATE_TEXT, ONE_HOT_SOURCES
 from suite import views as V
 from suite.registry import query
 
@@ -59,14 +59,14 @@ def year_offset(spark, d):
     return rows.groupBy("BillYear", "years").agg(F.count(F.lit(1)).alias("n"))
 
 
+LOGGED = [c for c in LOG_COLUMNS if c in V.BILL_NAMES]
+
+
 @query("log_transform", V.with_views("bills") + """
-SELECT "PIN", "TaxYear", round(ln("AdjustedAmountDue1" + 1), 9) AS due, round(ln("CostAmountDue1" + 1), 9) AS cost
-FROM bills""")
+SELECT "PIN", "TaxYear", """ + ", ".join(f'round(ln("{c}" + 1), 9) AS "{c}"' for c in LOGGED) + " FROM bills")
 def log_transform(spark, d):
-    return V.bills(spark, d).select(
-        "PIN", "TaxYear", F.round(X.log_plus_one(F.col("AdjustedAmountDue1")), 9).alias("due"),
-        F.round(X.log_plus_one(F.col("CostAmountDue1")), 9).alias("cost"),
-    )
+    rows = encode.log_transform(V.bills(spark, d), LOGGED)
+    return rows.select("PIN", "TaxYear", *[F.round(c, 9).alias(c) for c in LOGGED])
 
 
 @query("fill_zero", V.with_views("bills") + """

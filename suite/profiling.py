@@ -75,7 +75,7 @@ def category_values(spark, d):
     return profile.category_values(V.bills(spark, d), CATEGORIES)
 
 
-NULLABLE = ["PIN", "AccountStatus", "LastPaymentSource1", "LastPaymentSource2", "LastPaymentReceivedAmount2"]
+NULLABLE = V.BILL_NAMES
 
 
 @query("null_counts", V.with_views("bills") + " UNION ALL ".join(

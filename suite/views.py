@@ -218,6 +218,7 @@ _BILL_COLUMNS = [
     "if(o_orderstatus = 'F', 'CHICAGO     ', 'CICERO      ') AS TaxpayerPropertyCity",
     "CASE l_partkey % 10 WHEN 0 THEN 'IN' WHEN 1 THEN 'il' ELSE 'IL' END AS TaxpayerMailingState",
 ]
+BILL_NAMES = [expr.rpartition(" AS ")[2] for expr in _BILL_COLUMNS]
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -112,8 +112,10 @@ def test_one_hot_names_and_unknown_values(spark, rows):
     assert out.columns == ["c_a", "c_b", "n_Y", "n_N"]
     assert rows(out) == [(0, 0, 0, 1), (0, 0, 1, 0), (1, 0, 1, 0)]
     assert encode.discover_values(df, ["c"]) == {"c": ["a", "q"]}
-    with pytest.raises(ValueError):
-        encode.discover_values(df, ["c"], max_values=1)
+    many = spark.range(3000).select(F.concat(F.lit("v"), "id").alias("c"))
+    assert len(encode.discover_values(many, ["c"])["c"]) == 3000
+    vector = encode.one_hot_vector(many.union(spark.createDataFrame([(None,)], "c string")), ["c"])
+    assert vector.count() == 3001 and vector.first()["c_encoded"].size >= 3001
 
 
 @pytest.mark.parametrize("share", [0.8, 0.5, 1.0])
