@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from billrisk.session import materialize, scratch_path
 
-__all__ = ["FrequencyClasses", "WordHashes", "bind", "materialize", "mix", "read_table", "shingle_hashes", "split_words", "without", "written"]
+__all__ = ["FrequencyClasses", "WordHashes", "bind", "materialize", "mix", "only", "read_table", "shingle_hashes", "split_words", "without", "written"]
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -43,6 +43,13 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_r
     return docs.join(side, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
 
 
+def only(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 500_000) -> DataFrame:
+    """The rows of ``docs`` whose id is in the one column of ``ids``, by the same choice as in ``without``."""
+    ids = materialize(ids.toDF("_wanted").distinct())
+    side = F.broadcast(ids) if ids.count() <= broadcast_rows else ids
+    return docs.join(side, F.col(id_col) == F.col("_wanted"), "left_semi")
+
+
 def split_words(text: str | None) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of the text as UTF-8, A-Z in lower case."""
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []

@@ -72,6 +72,8 @@ class Pieces:
 
 def _by_length(words: list[str], cells: int = 60_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(positions, code matrix) of words of equal length, in blocks of bounded size."""
+    if not words:
+        return
     marked = [_code("▁" + w) for w in words]
     lengths = np.array([len(m) for m in marked])
     order = np.argsort(lengths, kind="stable")
@@ -231,7 +233,7 @@ class _TokenScores(dict):
         words = [w for r in runs for w in r]
         rows = np.zeros((len(runs), self.matrix.shape[1]))
         rows[:, -1] = [len(r) for r in runs]
-        for block, codes in _by_length(words):
+        for block, codes in _by_length(words if self.model.languages else []):
             np.add.at(rows[:, :-1], owner[block], forward(self.model.pieces.lattice(codes), self.model.prob)[0])
         self.matrix = np.concatenate([self.matrix, rows])
         self.fresh = []

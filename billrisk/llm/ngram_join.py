@@ -69,32 +69,34 @@ def gram_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     return rows.mapInArrow(build, "doc_id long, n long, cid long, short array<long>, sketch array<long>")
 
 
-def _sets_of(rows: DataFrame, k: int) -> DataFrame:
-    """(cid, n, grams): sorted members, 8 bytes each."""
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+def _texts_of(rows: DataFrame, k: int) -> DataFrame:
+    """(cid, text): a text travels in less space than its hashed members."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         grams_of = _grams_of(k)()
         for batch in batches:
-            grams = [grams_of(text) for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_class_id(g) for g in grams], pa.int64()), pa.array([g.tobytes() for g in grams], pa.binary())],
-                ["cid", "grams"])
+            cids = [_class_id(grams_of(text)) for text in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), batch.column(0)], ["cid", "text"])
 
-    return rows.select("text").mapInArrow(build, "cid long, grams binary")
+    return rows.select("text").mapInArrow(run, "cid long, text string")
 
 
-def _probe(percent: int):
+def _probe(k: int, percent: int):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        """Binary search of the smaller set's members in the larger set, longest part last."""
+        """Binary search of the smaller set's members in the larger set."""
+        grams_of = _grams_of(k)()
+        last, p = None, None
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.searchsorted(q, p)
-                at[at == len(q)] = 0
-                shared = int((q[at] == p).sum())
-                keep.append(100 * shared >= percent * (len(p) + len(q) - shared))
+                if x != last:
+                    last, p = x, grams_of(x)
+                a, b = p, grams_of(y)
+                if len(a) > len(b):
+                    a, b = b, a
+                at = np.searchsorted(b, a)
+                at[at == len(b)] = 0
+                shared = int((b[at] == a).sum())
+                keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
@@ -142,9 +144,9 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         busy = close.select(F.col("a").alias("cid")).union(close.select(F.col("b"))).distinct()
         homes = materialize(classes.join(busy, "cid", "left_semi").select("home").distinct())
         side = F.broadcast(homes) if homes.count() <= broadcast_rows else homes
-        sets = written(_sets_of(keyed.join(side, "home", "left_semi"), k).dropDuplicates(["cid"]), "gram-members")
-        p, q = sets.select(F.col("cid").alias("a"), F.col("grams").alias("p")), sets.select(F.col("cid").alias("b"), F.col("grams").alias("q"))
-        return close.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(percent), "a long, b long")
+        found = written(_texts_of(keyed.join(side, "home", "left_semi"), k).dropDuplicates(["cid"]), "gram-texts")
+        p, q = found.select(F.col("cid").alias("a"), F.col("text").alias("p")), found.select(F.col("cid").alias("b"), F.col("text").alias("q"))
+        return close.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(k, percent), "a long, b long")
 
     comp = components(link_lists(lists, verify, near))
     members = classes.select("cid", "rep").join(comp.withColumnRenamed("id", "cid"), "cid", "left").select(
