@@ -7,11 +7,12 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from billrisk.session import materialize, scratch_path
 
-__all__ = ["FrequencyClasses", "WordHashes", "bind", "materialize", "mix", "only", "read_table", "shingle_hashes", "split_words", "without", "written"]
+__all__ = ["FrequencyClasses", "WordHashes", "bind", "materialize", "mix", "only", "packed", "read_table", "shingle_hashes", "split_words", "unpacked", "without", "written"]
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -55,6 +56,15 @@ def split_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def packed(text: str | None) -> bytes:
+    """A text for the way to its partner in a pair: a third of its size or less."""
+    return zstandard.compress((text or "").encode("utf-8", "surrogatepass"), 3)
+
+
+def unpacked(data: bytes) -> str:
+    return zstandard.decompress(data).decode("utf-8", "surrogatepass")
+
+
 class WordHashes(dict):
     """64-bit hash of a word, remembered while a task runs; the memory is bounded by ``limit`` words."""
 

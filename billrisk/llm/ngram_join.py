@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from billrisk.llm.common import FrequencyClasses, WordHashes, materialize, shingle_hashes, split_words, written
+from billrisk.llm.common import FrequencyClasses, WordHashes, materialize, packed, shingle_hashes, split_words, unpacked, written
 from billrisk.llm.components import components, link_lists
 
 
@@ -70,14 +70,15 @@ def gram_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
 
 
 def _texts_of(rows: DataFrame, k: int) -> DataFrame:
-    """(cid, text): a text travels in less space than its hashed members."""
+    """(cid, text): a compressed text travels in less space than its hashed members."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         grams_of = _grams_of(k)()
         for batch in batches:
             cids = [_class_id(grams_of(text)) for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), batch.column(0)], ["cid", "text"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cids, pa.int64()), pa.array([packed(t) for t in batch.column(0).to_pylist()], pa.binary())], ["cid", "text"])
 
-    return rows.select("text").mapInArrow(run, "cid long, text string")
+    return rows.select("text").mapInArrow(run, "cid long, text binary")
 
 
 def _probe(k: int, percent: int):
@@ -89,8 +90,8 @@ def _probe(k: int, percent: int):
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 if x != last:
-                    last, p = x, grams_of(x)
-                a, b = p, grams_of(y)
+                    last, p = x, grams_of(unpacked(x))
+                a, b = p, grams_of(unpacked(y))
                 if len(a) > len(b):
                     a, b = b, a
                 at = np.searchsorted(b, a)
