@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -84,14 +85,12 @@ def _texts_of(rows: DataFrame, k: int) -> DataFrame:
 def _probe(k: int, percent: int):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         """Binary search of the smaller set's members in the larger set."""
-        grams_of = _grams_of(k)()
-        last, p = None, None
+        plain = _grams_of(k)()
+        grams_of = lru_cache(32)(lambda data: plain(unpacked(data)))  # rows of one text come one after another
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                if x != last:
-                    last, p = x, grams_of(unpacked(x))
-                a, b = p, grams_of(unpacked(y))
+                a, b = grams_of(x), grams_of(y)
                 if len(a) > len(b):
                     a, b = b, a
                 at = np.searchsorted(b, a)
