@@ -221,12 +221,15 @@ def template_subtrees(pages: DataFrame, min_pages: int = 5, min_share: float = 0
     return rows.select("host", "page_key", "tree").join(common, ["host", "tree"]).groupBy("page_key").agg(F.collect_set("tree").alias("removed"))
 
 
-def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+                      broadcast_rows: int = 200_000) -> DataFrame:
     """(page_id, url, text): the article of every page, blocks joined by an empty line.
 
     Left out are menus, headers, footers, side bars, notices, adverts, forms,
     comments, scripts and styles, by element, role, class and id, and whatever
-    recurs as a template on the page's host.  Character references are decoded
+    recurs as a template on the page's host; the subtrees to remove go to the
+    pages if at most ``broadcast_rows`` pages have any, else they meet by
+    shuffle.  Character references are decoded
     and white space inside a block becomes one space.
 
     Null or empty html gives an empty text; a null url, or one without a host,
@@ -234,8 +237,9 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     empty table gives an empty result; extra columns are ignored.
     """
     rows = _pages(pages, id_col, url_col, html_col)
-    removed = template_subtrees(rows)
-    joined = rows.join(removed.withColumnRenamed("page_key", "_of"), F.col("page_key") == F.col("_of"), "left")
+    removed = materialize(template_subtrees(rows).withColumnRenamed("page_key", "_of"))
+    side = F.broadcast(removed) if removed.count() <= broadcast_rows else removed
+    joined = rows.join(side, F.col("page_key") == F.col("_of"), "left")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         for batch in batches:
