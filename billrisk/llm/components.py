@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from billrisk.llm.common import materialize
+from billrisk.llm.common import materialize, written
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -33,35 +33,53 @@ def components(links: DataFrame) -> DataFrame:
         labels = labels.drop("old")
 
 
-def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame],
-               near: Callable[[Column, Column], Column] | None = None, infos: DataFrame | None = None,
-               star_rounds: int = 8) -> DataFrame:
+Near = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
+
+
+def _side(lists: DataFrame, name: str, extra: list[str]) -> DataFrame:
+    return lists.select("key", F.col("id").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in extra))
+
+
+def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Near | None = None,
+               short: int = 64, star_rounds: int = 8) -> DataFrame:
     """Verified links (a, b, ...) that join everything which any list should join.
 
-    ``lists`` (key, id), without repeated rows: members of one key are
-    candidates of each other.  ``infos`` (id, info) go to the lists that have
-    two members or more, unless the lists hold that column; ``near`` compares
-    the infos of two members and rules out pairs cheaply; ``verify`` takes pairs
-    (a < b) and returns those that are links.  The result need not hold every
-    link, but two members of a list with a link are always in one component of
-    the result: while the pairs still open are many more than the rows and
-    become fewer, members are held against one pivot of their list (a "star",
-    linear in its size); then every pair of members that are in different
-    components by now is verified.
+    ``lists`` (key, id, ...), without repeated rows: members of one key are
+    candidates of each other.  ``near`` gets two functions from the name of a
+    further column to that column of either member, and rules out pairs
+    cheaply; ``verify`` takes pairs (a < b) and returns those that are links.
+    In lists of up to ``short`` members every pair is looked at, which is at
+    most ``short`` comparisons a row; longer lists follow by stars.  The result
+    need not hold every link, but two members of a list with a link are always
+    in one component of the result.
     """
+    extra = [c for c in lists.columns if c not in ("key", "id")]
     kept = lists.where("key is not null and id is not null")
-    counts = kept.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
-    lists = kept.join(counts, "key")
-    if infos is not None:
-        lists = materialize(lists.select("key", "id")).join(infos, "id")
-    lists = materialize(lists.select("key", "id", "info"))
-    links, before, budget = None, None, 3 * lists.count()
-    labelled = lists.withColumn("comp", F.col("id"))
+    counts = kept.groupBy("key").agg(F.count("*").cast("int").alias("m")).where("m > 1")
+    shared = written(kept.join(counts, "key"), "lists")
+    few = shared.where(F.col("m") <= short)
+    pairs = _side(few, "x", extra).join(_side(few, "y", extra), "key").where("x < y")
+    if near is not None:
+        pairs = pairs.where(near(lambda c: F.col("x_" + c), lambda c: F.col("y_" + c)))
+    links = materialize(verify(materialize(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())))
+    many = shared.where(F.col("m") > short).drop("m")
+    return links if many.isEmpty() else _star_links(many, extra, links, verify, near, star_rounds)
+
+
+def _star_links(lists: DataFrame, extra: list[str], links: DataFrame, verify: Callable[[DataFrame], DataFrame],
+                near: Near | None, star_rounds: int) -> DataFrame:
+    """``links`` and those of long lists.
+
+    While the pairs still open are many more than the rows and become fewer,
+    members are held against one pivot of their list (a "star", linear in its
+    size); then every pair of members that are in different components by now
+    is verified.
+    """
+    before, budget = None, 3 * lists.count()
     for turn in range(star_rounds + 1):
-        if links is not None:
-            comp = components(links).withColumnRenamed("id", "of")
-            labelled = materialize(lists.join(comp, lists.id == comp.of, "left")
-                                   .select("key", "id", "info", F.coalesce("comp", "id").alias("comp")))
+        comp = components(links).withColumnRenamed("id", "of")
+        labelled = materialize(lists.join(comp, lists.id == comp.of, "left")
+                               .select("key", "id", *extra, F.coalesce("comp", "id").alias("comp")))
         parts = labelled.groupBy("key", "comp").agg(F.count("*").alias("m"))
         lead = parts.groupBy("key").agg(
             F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"), F.count("*").alias("parts"))
@@ -72,27 +90,21 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame],
             break
         last = turn == star_rounds or open_pairs <= budget or (before is not None and open_pairs > 0.7 * before)
         before = open_pairs
-        x = labelled.select("key", F.col("id").alias("x"), F.col("info").alias("ix"), F.col("comp").alias("cx"))
-        y = labelled.select("key", F.col("id").alias("y"), F.col("info").alias("iy"), F.col("comp").alias("cy"))
+        x, y = (_side(labelled, side, [*extra, "comp"]) for side in "xy")
         if last:
-            aside = materialize(x.join(lead.select("key", "top"), "key").where("cx <> top").drop("top"))
+            aside = materialize(x.join(lead.select("key", "top"), "key").where("x_comp <> top").drop("top"))
             pairs = aside.join(y, "key")
         else:
             # a pivot that differs from turn to turn, so that some turn takes it from a large component
             mark = F.xxhash64("id", F.lit(turn)).alias("mark")
             pivot = labelled.join(lead.select("key"), "key", "left_semi").groupBy("key").agg(
-                F.min(F.struct(mark, "id", "info", "comp")).alias("p"))
-            pivot = materialize(pivot.select(
-                "key", F.col("p.id").alias("y"), F.col("p.info").alias("iy"), F.col("p.comp").alias("cy")))
-            pairs = x.join(pivot, "key")
-        pairs = pairs.where("cx <> cy")
+                F.min(F.struct(mark, "id", *extra, "comp")).alias("p"))
+            pairs = x.join(materialize(_side(pivot.select("key", "p.*"), "y", [*extra, "comp"])), "key")
+        pairs = pairs.where("x_comp <> y_comp")
         if near is not None:
-            pairs = pairs.where(near(F.col("ix"), F.col("iy")))
+            pairs = pairs.where(near(lambda c: F.col("x_" + c), lambda c: F.col("y_" + c)))
         pairs = materialize(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        found = verify(pairs)
-        links = materialize(found if links is None else links.union(found))
+        links = materialize(links.union(verify(pairs)))
         if last:
             break
-    if links is None:
-        links = materialize(verify(lists.select(F.col("id").alias("a"), F.col("id").alias("b")).where("false")))
     return links

@@ -129,11 +129,11 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.min("sketch").alias("sketch"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("home"))
     classes = written(classes, "gram-classes")
 
-    lists = classes.select(F.explode("short").alias("key"), F.col("cid").alias("id"), F.col("n").alias("info"))
+    lists = classes.select(F.explode("short").alias("key"), F.col("cid").alias("id"), "n")
     keyed = texts.withColumn("home", F.coalesce("doc_id", F.lit(-1)))
 
-    def near(x: Column, y: Column) -> Column:
-        return 100 * F.least(x, y) >= percent * F.greatest(x, y)
+    def near(x, y) -> Column:
+        return 100 * F.least(x("n"), y("n")) >= percent * F.greatest(x("n"), y("n"))
 
     def verify(pairs: DataFrame) -> DataFrame:
         # two sets as similar as asked differ in at most (n + m) * (100 - percent) / (100 + percent) members
@@ -148,7 +148,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         p, q = found.select(F.col("cid").alias("a"), F.col("text").alias("p")), found.select(F.col("cid").alias("b"), F.col("text").alias("q"))
         return close.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(k, percent), "a long, b long")
 
-    comp = components(link_lists(lists, verify, near))
+    comp = components(link_lists(lists, verify, near, short=3))
     members = classes.select("cid", "rep").join(comp.withColumnRenamed("id", "cid"), "cid", "left").select(
         "cid", "rep", F.coalesce("comp", "cid").alias("comp"))
     least = members.groupBy("comp").agg(F.min("rep").alias("least"))
