@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from billrisk.llm.common import materialize, written
+from billrisk.llm.common import written
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """A written table: a checkpoint keeps the optimizer's constraints, which multiply when columns are renamed each round."""
+    return written(df, "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,15 +23,15 @@ def components(links: DataFrame) -> DataFrame:
     hot id; the minima combine before they are shuffled.
     """
     edges = links.where("a <> b").select("a", "b").distinct()
-    edges = materialize(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = materialize(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
+    edges = _cut(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+    labels = _cut(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
                          .select("id", F.least("id", "m").alias("comp")))
     while True:
         offers = edges.join(labels, edges.a == labels.id).select(F.col("b").alias("id"), "comp", F.lit(None).cast(labels.schema["id"].dataType).alias("old"))
         held = labels.select("id", "comp", F.col("comp").alias("old"))
-        nearer = materialize(offers.union(held).groupBy("id").agg(F.min("comp").alias("comp"), F.max("old").alias("old")))
+        nearer = _cut(offers.union(held).groupBy("id").agg(F.min("comp").alias("comp"), F.max("old").alias("old")))
         up = nearer.select(F.col("id").alias("up"), F.col("comp").alias("root"))
-        labels = materialize(nearer.join(up, nearer.comp == up.up, "left")
+        labels = _cut(nearer.join(up, nearer.comp == up.up, "left")
                              .select("id", F.coalesce("root", "comp").alias("comp"), "old"))
         if labels.where("comp <> old").isEmpty():
             return labels.drop("old")
@@ -61,29 +66,29 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], near:
     pairs = _side(few, "x", extra).join(_side(few, "y", extra), "key").where("x < y")
     if near is not None:
         pairs = pairs.where(near(lambda c: F.col("x_" + c), lambda c: F.col("y_" + c)))
-    links = materialize(verify(materialize(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())))
+    links = _cut(verify(_cut(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())))
     many = shared.where(F.col("m") > short).drop("m")
-    return links if many.isEmpty() else _star_links(many, extra, links, verify, near, star_rounds)
+    return links if many.isEmpty() else _star_links(many, extra, links, verify, near, short, star_rounds)
 
 
 def _star_links(lists: DataFrame, extra: list[str], links: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                near: Near | None, star_rounds: int) -> DataFrame:
+                near: Near | None, short: int, star_rounds: int) -> DataFrame:
     """``links`` and those of long lists.
 
-    While the pairs still open are many more than the rows and become fewer,
+    While the pairs still open are more than ``short`` a row and become fewer,
     members are held against one pivot of their list (a "star", linear in its
     size); then every pair of members that are in different components by now
     is verified.
     """
-    before, budget = None, 3 * lists.count()
+    before, budget = None, max(3, short) * lists.count()
     for turn in range(star_rounds + 1):
         comp = components(links).withColumnRenamed("id", "of")
-        labelled = materialize(lists.join(comp, lists.id == comp.of, "left")
+        labelled = _cut(lists.join(comp, lists.id == comp.of, "left")
                                .select("key", "id", *extra, F.coalesce("comp", "id").alias("comp")))
         parts = labelled.groupBy("key", "comp").agg(F.count("*").alias("m"))
         lead = parts.groupBy("key").agg(
             F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"), F.count("*").alias("parts"))
-        lead = materialize(lead.where("parts > 1").select(
+        lead = _cut(lead.where("parts > 1").select(
             "key", "all", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.m")).alias("rest")))
         open_pairs = lead.agg(F.sum(F.col("rest") * F.col("all"))).first()[0]
         if not open_pairs:
@@ -92,19 +97,19 @@ def _star_links(lists: DataFrame, extra: list[str], links: DataFrame, verify: Ca
         before = open_pairs
         x, y = (_side(labelled, side, [*extra, "comp"]) for side in "xy")
         if last:
-            aside = materialize(x.join(lead.select("key", "top"), "key").where("x_comp <> top").drop("top"))
+            aside = _cut(x.join(lead.select("key", "top"), "key").where("x_comp <> top").drop("top"))
             pairs = aside.join(y, "key")
         else:
             # a pivot that differs from turn to turn, so that some turn takes it from a large component
             mark = F.xxhash64("id", F.lit(turn)).alias("mark")
             pivot = labelled.join(lead.select("key"), "key", "left_semi").groupBy("key").agg(
                 F.min(F.struct(mark, "id", *extra, "comp")).alias("p"))
-            pairs = x.join(materialize(_side(pivot.select("key", "p.*"), "y", [*extra, "comp"])), "key")
+            pairs = x.join(_cut(_side(pivot.select("key", "p.*"), "y", [*extra, "comp"])), "key")
         pairs = pairs.where("x_comp <> y_comp")
         if near is not None:
             pairs = pairs.where(near(lambda c: F.col("x_" + c), lambda c: F.col("y_" + c)))
-        pairs = materialize(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        links = materialize(links.union(verify(pairs)))
+        pairs = _cut(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        links = _cut(links.union(verify(pairs)))
         if last:
             break
     return links
