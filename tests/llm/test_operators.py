@@ -92,6 +92,17 @@ def test_substring_dedup(spark, docs):
     assert substring_dedup.repeated_passages(docs.where("false")).count() == 0
 
 
+def test_substring_dedup_finds_near_copies_of_a_frequent_passage(spark):
+    passage = text(41, 60).split()
+    rows = [(i, " ".join(["", text(1000 + i, 100), *passage, text(2000 + i, 100)])) for i in range(150)]
+    for i in range(150, 160):  # one changed word, each another one, in other surroundings
+        changed = list(passage)
+        changed[27 + i % 7] = f"new{i}"
+        rows.append((i, " ".join([text(1000 + i, 100), *changed, text(2000 + i, 100)])))
+    got = {r.doc_id: r for r in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert set(got) == set(range(160)) and {r.first_doc_id for r in got.values()} == {0}
+
+
 def test_compact_windows_cover_each_run_once():
     ranks = np.array(random.Random(3).sample(range(1000), 60), np.uint64)
     windows = substring_dedup.compact_windows(ranks, 10)
