@@ -103,6 +103,33 @@ def test_substring_dedup_finds_near_copies_of_a_frequent_passage(spark):
     assert set(got) == set(range(160)) and {r.first_doc_id for r in got.values()} == {0}
 
 
+def test_substring_dedup_finds_changed_passages(spark):
+    rng, rows = random.Random(51), []
+    for i in range(60):
+        passage = text(3000 + i, 60).split()
+        other = list(passage)
+        if i < 20:  # one word inserted in the middle, so that no diagonal holds 40 equal words of 50
+            other.insert(30, "new")
+        else:
+            for k in rng.sample(range(60), 6 if i < 40 else 11):
+                other[k] = f"new{k}"
+        rows += [(2 * i, " ".join([text(4000 + i, 150), *passage, text(5000 + i, 150)])),
+                 (2 * i + 1, " ".join([text(6000 + i, 150), *other, text(7000 + i, 150)]))]
+    got = {r.doc_id: r.passages for r in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    found = [i for i in range(60) if 2 * i in got and 2 * i + 1 in got]
+    assert set(range(40)) <= set(found) and len(found) >= 59
+    for i in range(20):
+        start, end = map(int, got[2 * i].split("-"))
+        assert 138 <= start <= 152 and 208 <= end <= 223  # a fifth of 50 words at either end may differ
+
+
+def test_substring_dedup_verifies_every_pair(spark):
+    common, more = text(61, 60), text(62, 50)
+    rows = [(i, " ".join([text(8000 + i, 100), common, more if i in (1, 4) else text(8100 + i, 50), text(8200 + i, 100)])) for i in range(1, 6)]
+    got = {r.doc_id: r.n_repeated_words for r in substring_dedup.repeated_passages(frame(spark, rows)).collect()}
+    assert got[1] >= 108 and got[4] >= 108 and all(58 <= got[i] <= 75 for i in (2, 3, 5))
+
+
 def test_compact_windows_cover_each_run_once():
     ranks = np.array(random.Random(3).sample(range(1000), 60), np.uint64)
     windows = substring_dedup.compact_windows(ranks, 10)
