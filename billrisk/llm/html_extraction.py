@@ -137,13 +137,39 @@ def _content(root: Node) -> list[Node]:
     return [root]
 
 
-def blocks(root: Node, removed: frozenset[int] = frozenset(), hashes: dict[int, int] | None = None) -> list[str]:
-    """Text blocks of the article in page order; subtrees whose hash is in ``removed`` are left out.
-
-    Inside an explicit ``article`` or ``main`` only containers are: a paragraph
-    that many articles of a site share is still text of each of them.
+def template_keys(root: Node) -> dict[int, tuple[int, ...]]:
+    """id(node) -> the hashes under which the element is counted as a part of its site's template.
+
+    One is that of the subtree.  For a block of prose inside an explicit
+    ``article`` or ``main`` it is joined with the block's place there: tags,
+    classes and ids above it and its number from the first sibling, or from the
+    last.  A paragraph that articles share at different places is text of each
+    of them, and so are inline elements and cells.
     """
-    hashes = hashes or {}
+    hashes = subtree_hashes(root)
+    out = {of: (h,) for of, h in hashes.items()}
+    for top in _content(root):
+        if top.tag not in ("main", "article"):
+            continue
+        out.pop(id(top), None)
+        stack = [(top, 0)]
+        while stack:
+            node, above = stack.pop()
+            path = xxhash.xxh64_intdigest("\x1f".join([node.tag, node.name, str(above)]).encode("utf-8", "surrogatepass"))
+            below = [p for p in node.parts if isinstance(p, Node)]
+            held = [p for p in below if id(p) in hashes and not p.dropped]
+            for i, p in enumerate(held):
+                if p.tag in PROSE:
+                    out[id(p)] = tuple(
+                        xxhash.xxh64_intdigest(f"{hashes[id(p)]} {path} {place}") - (1 << 63)
+                        for place in (i, i - len(held))) if p.tag in BLOCK else ()
+            stack.extend((p, path) for p in below)
+    return out
+
+
+def blocks(root: Node, removed: frozenset[int] = frozenset(), keys: dict[int, tuple[int, ...]] | None = None) -> list[str]:
+    """Text blocks of the article in page order; elements with a key in ``removed`` (see ``template_keys``) are left out."""
+    keys = keys or {}
     out: list[str] = []
     buffer: list[str] = []
 
@@ -163,7 +189,7 @@ def blocks(root: Node, removed: frozenset[int] = frozenset(), hashes: dict[int,
             elif isinstance(item, str):
                 buffer.append(item)
             else:
-                if item.dropped or (removed and not (inside and item.tag in PROSE) and hashes.get(id(item)) in removed):
+                if item.dropped or (removed and not removed.isdisjoint(keys.get(id(item), ()))):
                     if item.tag in BLOCK:
                         flush()
                     continue
@@ -187,11 +213,11 @@ def _pages(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
                         host.alias("host"), F.xxhash64(url, html).alias("page_key"))
 
 
-def template_subtrees(pages: DataFrame, min_pages: int = 5, min_share: float = 0.2) -> DataFrame:
-    """(page_key, removed): for each page the hashes of its subtrees that are part of its site's template.
+def template_subtrees(pages: DataFrame, min_pages: int = 5) -> DataFrame:
+    """(page_key, removed): for each page the keys of its elements that are part of its site's template.
 
-    A subtree is a template part if it stands on at least ``min_pages`` pages
-    of the host with different main text, and on ``min_share`` of them.  Pages
+    An element is a template part if it stands on at least ``min_pages`` pages
+    of the host with different main text, however many pages the host has.  Pages
     with the same main text count once, so that an article that was fetched
     many times is no template.  A page's own subtrees are all that is gathered
     per page; counts per host combine before the shuffle.
@@ -202,8 +228,8 @@ def template_subtrees(pages: DataFrame, min_pages: int = 5, min_share: float = 0
             for h, k, html in zip(*(c.to_pylist() for c in batch.columns)):
                 root = parse(html)
                 text = xxhash.xxh64_intdigest("\n".join(blocks(root)).encode("utf-8", "surrogatepass")) - (1 << 63)
-                hashes = subtree_hashes(root)
-                keep = {hashes[id(n)] for n in _walk(root) if id(n) in hashes and not n.dropped and n.tag not in ("#root", "html", "body")}
+                keys = template_keys(root)
+                keep = {k for n in _walk(root) if not n.dropped and n.tag not in ("#root", "html", "body") for k in keys.get(id(n), ())}
                 host += [h] * len(keep)
                 key += [k] * len(keep)
                 main += [text] * len(keep)
@@ -215,9 +241,8 @@ def template_subtrees(pages: DataFrame, min_pages: int = 5, min_share: float = 0
     rows = pages.where("host <> ''").select("host", "page_key", "html").mapInArrow(
         list_subtrees, "host string, page_key long, main long, tree long")
     rows = materialize(rows.select(F.xxhash64("host").alias("host"), "page_key", "main", "tree"))
-    per_host = rows.select("host", "main").distinct().groupBy("host").agg(F.count("*").alias("pages"))
     common = rows.select("host", "tree", "main").distinct().groupBy("host", "tree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    common = materialize(common.join(per_host, "host").where(F.col("n") >= min_share * F.col("pages")).select("host", "tree"))
+    common = materialize(common.select("host", "tree"))
     return rows.select("host", "page_key", "tree").join(common, ["host", "tree"]).groupBy("page_key").agg(F.collect_set("tree").alias("removed"))
 
 
@@ -246,7 +271,7 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
             texts = []
             for html, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
                 root = parse(html)
-                texts.append("\n\n".join(blocks(root, frozenset(gone), subtree_hashes(root)) if gone else blocks(root)))
+                texts.append("\n\n".join(blocks(root, frozenset(gone), template_keys(root)) if gone else blocks(root)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 
     return joined.select("page_id", "url", "html", "removed").mapInArrow(extract, "page_id long, url string, text string")
