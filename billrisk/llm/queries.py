@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billrisk.llm import bpe, decontamination, html_extraction, kneser_ney, language_id, line_dedup, masked_lm, ngram_join, quality_rules, substring_dedup
+from billrisk.llm import bpe, decontamination, html_extraction, kneser_ney, language_id, line_dedup, masked_lm, ngram_join, quality_rules, substring_dedup, vector_codes
 from billrisk.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,39 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = masked_lm.score_documents(docs, masked_lm.fit_masked_model(docs))
     return scores.withColumn("mean_log_probability", F.round(F.col("log_likelihood") / F.col("n_tokens"), 3)).withColumn(
         "log_likelihood", F.round("log_likelihood", 1))
+
+
+def _vector_codes_sql(rounds: int = 2) -> str:
+    """Every distance is measured; a sum of squares and an index share one number, so that the least is the first of the nearest."""
+    steps = ["""
+WITH kept AS (
+  SELECT vec_id, label, embedding, len(embedding) // 16 AS k, row_number() OVER (ORDER BY vec_id, embedding) AS r FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT r, p, list_transform(embedding[p * k + 1:(p + 1) * k], lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+          FROM kept, range(16) t(p)),
+books0 AS (SELECT p, r - 1 AS e, v FROM parts WHERE r <= 64)"""]
+    for turn in range(rounds + 1):
+        steps.append(f"""
+near{turn} AS (
+  SELECT r, p, any_value(parts.v) AS v,
+         min(list_sum(list_transform(list_zip(parts.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 64 + e) AS best
+  FROM parts JOIN books{turn} b USING (p) GROUP BY r, p)""")
+        if turn < rounds:
+            steps.append(f"""
+sums{turn} AS (SELECT p, best % 64 AS e, i, sum(x) AS s, count(*) AS n
+               FROM (SELECT p, best, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM near{turn}) GROUP BY ALL),
+means{turn} AS (SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM sums{turn} GROUP BY p, e),
+books{turn + 1} AS (SELECT p, e, coalesce(m.v, b.v) AS v FROM books{turn} b LEFT JOIN means{turn} m USING (p, e))""")
+    return ",".join(steps) + f""",
+coded AS (SELECT r, string_agg(printf('%02x', best % 64), '' ORDER BY p) AS code, sum(best // 64)::BIGINT AS error FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) FROM books{rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (r)"""
+
+
+@_query
+@_sql(_vector_codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = vector_codes.encode_vectors(read_table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes.rows).select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
