@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from billrisk.llm import bpe, decontamination, html_extraction, kneser_ney, language_id, line_dedup, masked_lm, ngram_join, quality_rules, substring_dedup, vector_codes
-from billrisk.llm.common import read_table
+from billrisk.llm import alignment, bpe, decontamination, html_extraction, kneser_ney, language_id, line_dedup, masked_lm, ngram_join, quality_rules, substring_dedup, toxicity, vector_codes
+from billrisk.llm.common import read_table, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -179,3 +179,20 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes = vector_codes.encode_vectors(read_table(spark, sf_dir, "embeddings"))
     return vector_codes.with_label_error(codes.rows).select(
         F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(codes.digest()).alias("codebooks_sha256"))
+
+
+@_query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = alignment.TokenizerFiles.public(spark)
+    aligned = alignment.align_tokenizers(read_table(spark, sf_dir, "documents"), files).withColumn(
+        "groups_sha256", F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")).drop("groups")
+    aligned = written(aligned, "aligned", compression="zstd")
+    return alignment.score_links(aligned, alignment.pair_counts(aligned, files.sizes()[1])).drop("row")
+
+
+@_query
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = ~toxicity.held_out()
+    model = toxicity.fit_toxicity(docs.where(learn), read_table(spark, sf_dir, "labels").where(learn))
+    return toxicity.tag_toxicity(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
