@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from billrisk.functions import flag, log_plus_one
-from billrisk.operators.sizing import fetch_small
+from billrisk.operators.sizing import MAX_BROADCAST_ROWS, fetch_small
+from billrisk.session import written
 
 _SCHEMA = "feature string, value string, woe double"
 
@@ -20,50 +21,96 @@ def _woe(cnt: Column, late: Column) -> Column:
     return F.when(usable, F.round(F.ln(share_0 / share_1), 2))
 
 
+def _stacked(columns: Sequence[str]) -> Column:
+    return F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns])
+
+
 def fit_woe(df: DataFrame, columns: Sequence[str], label: str = "LatePmt2", strict: bool = False) -> DataFrame:
-    """Weight of evidence of every category of every column, as (feature, value, woe).
+    """Weight of evidence of every category of every column, as (feature, value, woe, cnt).
 
     All columns are stacked and grouped in one pass; counts are combined
     before the shuffle.  Fit on training rows only to keep the label of the
     rows to be scored out of their features.  With ``strict`` null categories
     are left out, as they are by an inner join.
     """
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in columns
-    ])
-    stacked = df.select(F.col(label).alias("_y"), F.inline(pairs))
+    stacked = df.select(F.col(label).alias("_y"), F.inline(_stacked(columns)))
     if strict:
         stacked = stacked.where(F.col("value").isNotNull())
     return stacked.groupBy("feature", "value").agg(
-        _woe(F.count(F.lit(1)), F.sum("_y")).alias("woe")
+        _woe(F.count(F.lit(1)), F.sum("_y")).alias("woe"), F.count(F.lit(1)).alias("cnt")
     )
 
 
 def apply_woe(
     df: DataFrame, table: DataFrame, columns: Sequence[str], strict: bool = False, missing: float | None = 0.0,
+    max_rows: int = MAX_BROADCAST_ROWS, salts: int = 16,
 ) -> DataFrame:
-    """Add ``WOE_<column>`` by joining the fitted table, once per column.
+    """Add ``WOE_<column>`` for every column of the fitted table.
 
     A category without a usable value gets ``missing``.  ``strict`` keeps only
-    rows whose categories are all in the table (an inner join).
+    rows whose categories are all in the table (an inner join).  A table of at
+    most ``max_rows`` categories is sent to the rows.  Of a larger one only the
+    most frequent categories are; the others meet the rows in one shuffle of
+    all columns together, see ``_split_join``.
     """
-    rows = fetch_small(table)
-    if rows is not None:
-        table = df.sparkSession.createDataFrame(rows, _SCHEMA)
+    names = list(columns)
+    rows = fetch_small(table.select("feature", "value", "woe"), max_rows)
+    if rows is None:
+        return _split_join(df, table, names, strict, missing, max_rows, salts)
+    known = df.sparkSession.createDataFrame(rows, _SCHEMA)
     out = df
-    for name in columns:
-        side = table.where(F.col("feature") == name).select(
+    for name in names:
+        side = known.where(F.col("feature") == name).select(
             F.col("value").alias("_value"), F.col("woe").alias(f"WOE_{name}")
         )
-        if rows is not None:
-            side = F.broadcast(side)
         match = F.col(name).cast("string").eqNullSafe(F.col("_value"))
-        out = out.join(side, match, "inner" if strict else "left").drop("_value")
+        out = out.join(F.broadcast(side), match, "inner" if strict else "left").drop("_value")
     if missing is not None:
-        out = out.na.fill(missing, subset=[f"WOE_{name}" for name in columns])
+        out = out.na.fill(missing, subset=[f"WOE_{name}" for name in names])
     return out
 
 
+def _split_join(
+    df: DataFrame, table: DataFrame, names: list[str], strict: bool, missing: float | None, max_rows: int, salts: int,
+) -> DataFrame:
+    """Weights from a table that is too large to be sent to the rows.
+
+    The ``max_rows`` most frequent categories go to the rows, so what is left
+    of the table holds no frequent one.  Each row stacks its categories that
+    were not among them, for all columns; these meet the rest of the table by
+    (column, category) and a salt, since a category that the table does not
+    know at all may fill any share of the rows.  The weights come back by the
+    number of the row.
+    """
+    table = written(table, "weights")
+    top = table.orderBy(F.desc("cnt"), "feature", "value").limit(max_rows)
+    frequent = written(top.select("feature", "value", "woe"), "frequent")
+    rare = table.join(F.broadcast(frequent.select(F.col("feature").alias("f"), F.col("value").alias("v"))),
+                      (F.col("feature") == F.col("f")) & F.col("value").eqNullSafe(F.col("v")), "left_anti")
+    out = df.withColumn("_row", F.monotonically_increasing_id())
+    for name in names:
+        side = frequent.where(F.col("feature") == name).select(
+            F.col("value").alias("_value"), F.struct("woe").alias(f"_w_{name}"))
+        out = out.join(F.broadcast(side), F.col(name).cast("string").eqNullSafe(F.col("_value")), "left").drop("_value")
+    out = written(out, "encoded")  # numbers of rows mean nothing if they are made anew
+    open_ = F.filter(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value"), F.col(f"_w_{c}").isNull().alias("open"))
+        for c in names]), lambda x: x["open"])
+    asked = out.select("_row", F.inline(open_)).withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)).cast("int"))
+    spread = rare.select(F.col("feature").alias("f"), F.col("value").alias("v"), "woe",
+                         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("s"))
+    same = (F.col("feature") == F.col("f")) & F.col("value").eqNullSafe(F.col("v")) & (F.col("_salt") == F.col("s"))
+    found = asked.join(spread, same).groupBy(F.col("_row").alias("_of")).agg(*[
+        F.first(F.when(F.col("feature") == c, F.struct("woe")), ignorenulls=True).alias(f"_r_{c}") for c in names])
+    joined = out.join(found, F.col("_row") == F.col("_of"), "left")
+    weights = {c: F.coalesce(F.col(f"_w_{c}"), F.col(f"_r_{c}")) for c in names}
+    if strict:
+        for weight in weights.values():
+            joined = joined.where(weight.isNotNull())
+    values = [weight["woe"] if missing is None else F.coalesce(weight["woe"], F.lit(missing)) for weight in weights.values()]
+    return joined.select(*df.columns, *[v.alias(f"WOE_{c}") for c, v in zip(names, values)])
+
+
 def woe_encode(
     df: DataFrame, columns: Sequence[str], label: str = "LatePmt2", train: Column | None = None,
     strict: bool = False, keep: bool = False, missing: float | None = 0.0,

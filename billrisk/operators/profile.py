@@ -8,14 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from billrisk.operators.clean import numeric_columns
-
+from billrisk.operators.correlation import pairwise_correlations
 
 
 def _count() -> Column:
@@ -96,6 +95,28 @@ def late_rate_by(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def late_rate_levels(df: DataFrame, levels: Sequence[Sequence[str]]) -> DataFrame:
+    """``late_rate_by`` at several levels in one pass and one shuffle.
+
+    Each level is a set of keys, the empty one the total.  Keys that are not
+    part of a row's level are null; ``level`` numbers the levels from 0, so a
+    null key of a level differs from a key left out.
+    """
+    keys = list(dict.fromkeys(k for level in levels for k in level))
+    left_out = [sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in level) for level in levels]
+    if len(set(left_out)) < len(left_out):
+        raise ValueError("levels repeat")
+    which = F.lit(None).cast("int")
+    for number, mask in enumerate(left_out):
+        which = F.when(F.col("_mask") == mask, number).otherwise(which)
+    grouped = df.groupingSets([[F.col(k) for k in level] for level in levels], *keys)
+    return grouped.agg(
+        F.grouping_id().alias("_mask"), _count().alias("n"),
+        (F.sum("LatePmt1") * 100.0 / _count()).alias("late1_pct"),
+        (F.sum("LatePmt2") * 100.0 / _count()).alias("late2_pct"),
+    ).select(which.alias("level"), *keys, "n", "late1_pct", "late2_pct")
+
+
 # ------------------------------------------------------------------ audits
 
 
@@ -152,6 +173,20 @@ def stage_sizes(stages: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), counts)
 
 
+def stage_counts(df: DataFrame, members: Mapping[str, Column], columns: Mapping[str, int] | None = None) -> DataFrame:
+    """``stage_sizes`` of stages that are subsets of one frame, from a single pass.
+
+    ``members`` says which rows each stage holds (null is no).  ``columns`` gives
+    the number of columns of stages with another projection.
+    """
+    width = dict(columns or {})
+    counted = df.agg(*[F.count_if(F.coalesce(m, F.lit(False))).alias(f"s{i}") for i, m in enumerate(members.values())])
+    return counted.select(F.inline(F.array(*[
+        F.struct(F.lit(i + 1).alias("step"), F.lit(name).alias("stage"), F.col(f"s{i}").alias("rows"),
+                 F.lit(width.get(name, len(df.columns))).alias("columns"))
+        for i, name in enumerate(members)])))
+
+
 # -------------------------------------------------------------- histograms
 
 
@@ -210,25 +245,16 @@ def correlation_matrix(
 ) -> DataFrame:
     """Pearson correlations as (a, b, r) rows, both triangles and the diagonal.
 
-    ``pairwise`` uses for each pair the rows where both are known, all pairs in
-    one aggregate.  ``complete`` uses rows without any null and the matrix
-    computation of Spark ML, better for many columns.
+    ``pairwise`` uses for each pair the rows where both are known, all pairs
+    from one state of co-moments.  ``complete`` uses rows without any null and
+    the matrix computation of Spark ML.
     """
     names = list(columns) if columns is not None else numeric_columns(df)
     if nulls == "complete":
         return _ml_correlation(df, names, digits)
     if nulls != "pairwise":
         raise ValueError("nulls must be 'pairwise' or 'complete'")
-    pairs = list(combinations(names, 2))
-    row = df.select([F.col(c).cast("double").alias(c) for c in names]).agg(*[
-        F.round(F.corr(a, b), digits).alias(f"r{i}") for i, (a, b) in enumerate(pairs)
-    ] or [F.lit(None).alias("r0")])
-    cells = [(c, c, F.lit(1.0)) for c in names]
-    for i, (a, b) in enumerate(pairs):
-        cells += [(a, b, F.col(f"r{i}")), (b, a, F.col(f"r{i}"))]
-    return row.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), r.alias("r")) for a, b, r in cells
-    ])))
+    return pairwise_correlations(df, names, digits)
 
 
 def _ml_correlation(df: DataFrame, names: list[str], digits: int) -> DataFrame:

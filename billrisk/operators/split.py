@@ -16,15 +16,21 @@ def is_test_year(test_year: int, year: str = "TaxYear") -> Column:
     return as_int(F.col(year)) == test_year
 
 
+def year_members(test_year: int, n_years: int | None = None, year: str = "TaxYear") -> dict[str, Column]:
+    """Which rows train and which test: the test year against all other years, or the ``n_years`` before it."""
+    value = as_int(F.col(year))
+    train = value != test_year
+    if n_years is not None:
+        train = (value < test_year) & (value >= test_year - n_years)
+    return {"train": train, "test": value == test_year}
+
+
 def split_by_year(
     df: DataFrame, test_year: int, n_years: int | None = None, year: str = "TaxYear",
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test): the test year against all other years, or the ``n_years`` before it."""
-    value = as_int(F.col(year))
-    test = df.where(value == test_year)
-    if n_years is None:
-        return df.where(value != test_year), test
-    return df.where((value < test_year) & (value >= test_year - n_years)), test
+    """(train, test) by ``year_members``."""
+    members = year_members(test_year, n_years, year)
+    return df.where(members["train"]), df.where(members["test"])
 
 
 def mark_random(df: DataFrame, key: str, train_share: float = 0.8, seed: int = 100, out: str = "is_train") -> DataFrame:

@@ -72,11 +72,11 @@ def run_backtest(bills: DataFrame, calendar: DataFrame, settings: BacktestSettin
     table = one_hot_table(bills, calendar, settings)
     features = forests.feature_columns(table, exclude=[KEY, YEAR, LABEL])
     table = clean.fill_zero(table.select(KEY, YEAR, LABEL, *features), features).persist()
-    train, test = split.split_by_year(table, settings.test_year, settings.train_years)
-    fitted = forests.train_classifier(train, features, LABEL, settings.forest)
-    scores = forests.score(fitted, test, positive=True).select(
+    members = split.year_members(settings.test_year, settings.train_years)
+    fitted = forests.train_classifier(table.where(members["train"]), features, LABEL, settings.forest)
+    scores = forests.score(fitted, table.where(members["test"]), positive=True).select(
         KEY, YEAR, LABEL, "probability", F.col("prediction").cast("int").alias("prediction")
     ).persist()
     return BinaryResult(
-        fitted, scores, features, {"features": table, "train": train, "test": test}, held=[scores, table],
+        fitted, scores, features, table, members, held=[scores, table],
     )

@@ -75,10 +75,10 @@ def history_table(cleaned: DataFrame, ledger: DataFrame, settings: ClassifierSet
     bills only, without the join.
     """
     rows = simple_features(cleaned)
-    # bills of one account and year are ordered by a hash of the row, so that row-wise sums do not
-    # depend on the partitioning; rows with equal hashes are equal and may stand in any order
-    rows = rows.withColumn("_row", F.xxhash64(*sorted(rows.columns)))
-    told = history.history_sums(rows, tie_break=["_row"], max_rows_per_key=settings.max_rows_per_key).drop("_row")
+    # bills of one account and year are ordered by all their values, so that row-wise sums do not
+    # depend on the partitioning; rows without a difference may stand in any order
+    ties = [c for c in sorted(rows.columns) if c not in (KEY, YEAR)]
+    told = history.history_sums(rows, tie_break=ties, max_rows_per_key=settings.max_rows_per_key)
     return lookups.attach_ledger(told, lookups.ledger_rollup(ledger))
 
 
@@ -111,18 +111,15 @@ def run_classifier(
     """
     table = history_table(clean_bills(bills, calendar, settings), ledger, settings).persist()
     ready = feature_table(table, settings)
-    train_rows = _train_rows(settings)
-    train = ready.where(train_rows)
+    members = {"train": _train_rows(settings), "test": split.is_test_year(settings.current_year, YEAR)}
     if settings.split == "random":
-        test = ready.where(F.col("is_train") == 0)
-    else:
-        test = ready.where(split.is_test_year(settings.current_year, YEAR))
+        members["test"] = F.col("is_train") == 0
     features = forests.feature_columns(ready, exclude=[KEY, YEAR, LABEL, "is_train"])
-    fitted = forests.train_classifier(train, features, LABEL, settings.forest)
-    scores = forests.score(fitted, test, positive=True).select(
+    fitted = forests.train_classifier(ready.where(members["train"]), features, LABEL, settings.forest)
+    scores = forests.score(fitted, ready.where(members["test"]), positive=True).select(
         KEY, YEAR, LABEL, "probability", F.col("prediction").cast("int").alias("prediction")
     ).persist()
     return BinaryResult(
-        fitted, scores, features, {"features": ready, "train": train, "test": test},
+        fitted, scores, features, ready, members,
         settings.threshold_op, settings.score_digits, LABEL, [scores, table],
     )

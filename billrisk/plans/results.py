@@ -5,10 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from billrisk.operators import evaluate, model as forests
-from billrisk.operators.profile import stage_sizes
+from billrisk.operators.profile import stage_counts
 from billrisk.sources import save_model, write_scores
 
 
@@ -17,12 +17,15 @@ class BinaryResult:
     """A fitted late/not-late model with its scored test rows.
 
     ``scores`` is cached since every report reads it; ``close`` frees it.
+    ``features`` are the columns, ``table`` holds them for all rows, and
+    ``members`` says which of its rows train and which test.
     """
 
     model: PipelineModel
     scores: DataFrame
     features: list[str]
-    stages: dict[str, DataFrame]
+    table: DataFrame
+    members: dict[str, Column]
     threshold_op: str = ">"
     score_digits: int | None = None
     label: str = "LatePmt2"
@@ -44,7 +47,11 @@ class BinaryResult:
         return evaluate.confusion_counts(self.scores.withColumn("_said", said), self.label, "_said")
 
     def sizes(self) -> DataFrame:
-        return stage_sizes(self.stages)
+        return stage_counts(self.table, {"features": F.lit(True), **self.members})
+
+    def stage(self, name: str) -> DataFrame:
+        """The rows of ``train`` or ``test``."""
+        return self.table.where(self.members[name])
 
     def importance(self, k: int | None = None) -> DataFrame:
         return forests.feature_importance(self.model, k)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,9 +41,68 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+class Scratch:
+    """Owns the tables and checkpoints written while it is open.
+
+    ``free`` deletes one as soon as nothing will read it any more, ``close``
+    all that are left.  Frames that read them are of no use afterwards.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: set[str] = set()
+
+    def delete(self, path: str) -> None:
+        jvm = self.spark._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.paths.discard(path)
+
+    def close(self) -> None:
+        for path in sorted(self.paths):
+            self.delete(path)
+
+
+_open: list[Scratch] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Scratch]:
+    """Whatever is written inside is deleted at the end; results have to be read, or written elsewhere, before."""
+    scope = Scratch(spark)
+    _open.append(scope)
+    try:
+        yield scope
+    finally:
+        _open.remove(scope)
+        scope.close()
+
+
+def _owned(spark: SparkSession, path: str) -> str:
+    if _open:
+        _open[-1].paths.add(path)
+    return path
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A path inside the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/billrisk/{label}-{uuid.uuid4().hex}"
+    """A path inside the shared folder that no other run uses; an open ``scratch`` owns it."""
+    return _owned(spark, f"{shared_dir(spark)}/billrisk/{label}-{uuid.uuid4().hex}")
+
+
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder (compact, for wide rows)."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.options(**options).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def checkpoint_dir(spark: SparkSession) -> None:
+    """Have the shared folder take checkpoints."""
+    folder = shared_dir(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -50,7 +111,22 @@ def materialize(df: DataFrame) -> DataFrame:
     Needed wherever two later steps must see the very same row placement.
     """
     spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    checkpoint_dir(spark)
+    out = df.checkpoint(eager=True)
+    file = out._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        out._scratch_path = _owned(spark, file.get())
+    return out
+
+
+def free(*frames: DataFrame) -> None:
+    """Delete what ``written`` or ``materialize`` wrote for these frames; others are left alone.
+
+    Only for frames that no later step reads, not even to compute a lost part anew.
+    """
+    for df in frames:
+        path = getattr(df, "_scratch_path", None)
+        if path is not None:
+            Scratch(df.sparkSession).delete(path)
+            for scope in _open:
+                scope.paths.discard(path)

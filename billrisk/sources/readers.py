@@ -6,10 +6,12 @@ for any number of yearly files, splits handled by Spark.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from billrisk.functions import as_int, as_number, parse_date
 from billrisk.schema import DUE_DATE_FORMAT, FIRST_YEAR, LEDGER_COLUMNS, LEDGER_DATE_FORMAT, text_schema
@@ -44,38 +46,93 @@ def read_bills(
     """
     if on_bad not in ("keep", "drop"):
         raise ValueError("on_bad must be 'keep' or 'drop'")
-    names = schema.fieldNames()
-    declared = T.StructType(list(schema.fields))
-    reader = spark.read.option("sep", sep).option("header", header)
-    if on_bad == "drop":
-        declared = declared.add(CORRUPT, T.StringType())
-        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-        reader = reader.option("columnPruning", False)
-    df = reader.schema(declared).csv(paths if isinstance(paths, str) else list(paths))
     if on_bad == "drop":
-        fields = F.size(F.split(F.col(CORRUPT), "\\Q" + sep + "\\E"))
-        # Spark refuses to read the raw line alone, so a plain count must touch
-        # a data column too; the second condition is always true.
-        first = F.col(names[0])
-        touched = first.isNull() | (F.length(first) >= 0)
-        df = df.where((F.col(CORRUPT).isNull() | (fields <= len(names))) & touched)
-    columns = [F.col(n) for n in names]
-    if year_pattern is not None:
-        path = F.col("_metadata.file_path")
-        columns.append(F.regexp_extract(path, year_pattern, 1).try_cast("int").alias("SourceYear"))
-    return df.select(*columns)
+        return scan_bills(spark, paths, schema, sep, header, year_pattern).rows
+    df = spark.read.option("sep", sep).option("header", header).schema(schema).csv(
+        paths if isinstance(paths, str) else list(paths))
+    return df.select(*schema.fieldNames(), *_source_year(year_pattern))
+
+
+@dataclass(frozen=True)
+class BillScan:
+    """``rows`` are the bills; ``rejects`` the lines that are none: (file, block, line, fields, reason).
+
+    ``block`` is where the split that holds the line starts in its file.  Rows
+    and rejects together are all lines that are not blank.
+    """
+
+    rows: DataFrame
+    rejects: DataFrame
+
+    def counts(self) -> DataFrame:
+        """(file, reason, n) of the rejects, and the good lines of each file under the reason ``good``."""
+        good = self.rows.select(F.col("_metadata.file_path").alias("file"), F.lit("good").alias("reason"))
+        return good.unionByName(self.rejects.select("file", "reason")).groupBy("file", "reason").agg(
+            F.count(F.lit(1)).alias("n"))
+
+
+def scan_bills(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: T.StructType,
+    sep: str = "|",
+    header: bool = False,
+    year_pattern: str | None = None,
+) -> BillScan:
+    """Bills, and a table of the lines with too many fields; short lines are padded with null and stay."""
+    names = schema.fieldNames()
+    declared = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    df = (
+        spark.read.option("sep", sep).option("header", header).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+        .schema(declared).csv(paths if isinstance(paths, str) else list(paths))
+    )
+    fields = F.size(F.split(F.col(CORRUPT), "\\Q" + sep + "\\E"))
+    surplus = F.col(CORRUPT).isNotNull() & (fields > len(names))
+    # Spark refuses to read the raw line alone, so a plain count must touch
+    # a data column too; the condition is always true.
+    first = F.col(names[0])
+    touched = first.isNull() | (F.length(first) >= 0)
+    rows = df.where(~surplus & touched).select(*names, *_source_year(year_pattern))
+    rejects = df.where(surplus & touched).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.col(CORRUPT).alias("line"), fields.alias("fields"),
+        F.concat(fields - len(names), F.lit(" surplus fields")).alias("reason"))
+    return BillScan(rows, rejects)
+
+
+def _source_year(pattern: str | None) -> list[Column]:
+    if pattern is None:
+        return []
+    return [F.regexp_extract(F.col("_metadata.file_path"), pattern, 1).try_cast("int").alias("SourceYear")]
+
+
+def _first_line(spark: SparkSession, file: str) -> str | None:
+    """The first line of a file in any store that Spark reads, packed or not; no job is started."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        source = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, "UTF-8")).readLine()
+    finally:
+        stream.close()
 
 
 def _read_by_name(spark: SparkSession, paths: str | Sequence[str], sep: str, wanted: Sequence[str]) -> DataFrame:
     """Text columns of files with a header line each, by name.
 
     Spark gives all files of one scan the names of one of them, by position.
-    So the header line of every file is read first, and files with the same
-    header are scanned together.
+    So the header line of every file is read first, by the rules of CSV, and
+    files with the same header are scanned together.  Empty files hold nothing.
     """
     layouts: dict[tuple[str, ...], list[str]] = {}
     for file in spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles():
-        layouts.setdefault(tuple(schema_from_header(spark, file, sep).names), []).append(file)
+        line = _first_line(spark, file)
+        if line:
+            names = next(csv.reader([line.lstrip("\ufeff")], delimiter=sep))
+            layouts.setdefault(tuple(name.strip() for name in names), []).append(file)
     frames = []
     for names, files in sorted(layouts.items()):
         missing = [name for name in wanted if name not in names]
@@ -121,14 +178,14 @@ def read_due_dates(spark: SparkSession, path: str, min_year: int = FIRST_YEAR) -
 
 
 def read_source_lookup(spark: SparkSession, path: str) -> DataFrame:
-    """Payment-source codes with short column names."""
-    raw = spark.read.option("header", True).csv(path)
-    return raw.withColumnsRenamed({
+    """Payment-source codes with short column names, found by their long names."""
+    names = {
         "Source ID": "srcID",
         "Payment Description": "PmtDesc",
         "Payment Source": "PmtSrc",
         "Payment Method": "PmtMethod",
-    })
+    }
+    return _read_by_name(spark, path, ",", list(names)).withColumnsRenamed(names)
 
 
 def read_bills_parquet(spark: SparkSession, path: str, years: Sequence[int] | None = None) -> DataFrame:

@@ -9,8 +9,8 @@ from billrisk.operators import clean, label, lookups, profile
 from billrisk.schema import text_schema
 from billrisk.session import scratch_path
 from billrisk.sources import (
-    read_bills, read_bills_parquet, read_due_dates, read_payments, read_source_lookup,
-    schema_from_header, union_years, write_bills_parquet,
+    load_years, read_bills, read_bills_parquet, read_due_dates, read_payments, read_source_lookup, read_years,
+    scan_bills, schema_from_header, union_years, write_bills_parquet,
 )
 from suite import views as V
 from suite.registry import query
@@ -108,6 +108,79 @@ def scan_ledger_pipe(spark, d):
     return _ledger_scan(spark, d, "|")
 
 
+@query("scan_rejects", V.with_views("bills") + """
+SELECT "TaxYear" AS "SourceYear", 'good' AS reason, count(*) AS n FROM bills GROUP BY 1
+UNION ALL
+SELECT "TaxYear", '3 surplus fields', count(*) FROM bills WHERE "SegmentCode" = 'XX' GROUP BY 1""")
+def scan_rejects(spark, d):
+    """Good lines and rejected ones, per file, add up to the lines read."""
+    base = scratch_path(spark, "rejects")
+    bills = V.bills(spark, d)
+    _write_bill_files(bills, base)
+    bad = bills.where(F.col("SegmentCode") == "XX").select(
+        F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in SCAN_COLUMNS], F.lit("a"), F.lit("b"), F.lit("c")),
+        F.col("TaxYear").alias("File"),
+    )
+    bad.write.mode("append").partitionBy("File").text(f"{base}/bills")
+    scan = scan_bills(spark, f"{base}/bills/File=*", schema_from_header(spark, f"{base}/header"))
+    year = F.regexp_extract("file", r"File=(\d{4})", 1).cast("int")
+    return scan.counts().groupBy(year.alias("SourceYear"), "reason").agg(F.sum("n").alias("n"))
+
+
+@query("scan_ledger_mixed_headers", LEDGER_SQL)
+def scan_ledger_mixed_headers(spark, d):
+    """Files with quoted names, another order of columns, and nothing at all."""
+    base = scratch_path(spark, "mixed")
+    text = V.ledger(spark, d).select(
+        "PIN", F.col("TaxYear4").cast("string").alias("TaxYear4"), F.lit("0").alias("TaxType"), "Payment",
+        F.concat(F.date_format("DatePaid", "yyMMdd"), F.lit("  ")).alias("DatePaid"), "SourceID", "TotalPaid")
+    odd = F.col("TaxYear4") % 2 == 1
+    plain = {"header": True, "ignoreTrailingWhiteSpace": False}
+    text.where(odd).write.options(**plain, quoteAll=True).csv(f"{base}/ledger")
+    text.where(~odd).select(*reversed(text.columns)).write.mode("append").options(**plain).csv(f"{base}/ledger")
+    spark.createDataFrame([], "line string").write.mode("append").text(f"{base}/ledger")
+    V.due_dates(spark, d).select(
+        F.col("PmtDue2").alias("Inst2"), "Year", F.col("PmtDue1").alias("Inst1")
+    ).write.options(header=True, quoteAll=True).csv(f"{base}/calendar")
+    paid = read_payments(spark, f"{base}/ledger")
+    due = read_due_dates(spark, f"{base}/calendar", min_year=1990)
+    return paid.join(due, F.col("TaxYear4") == F.col("Year"), "left").select(
+        *paid.columns, F.datediff("DatePaid", "PmtDue1").cast("bigint").alias("days_after_due"))
+
+
+@query("load_years", V.with_views("bills") + f"""
+SELECT "TaxYear", count(*) AS n, sum(CASE WHEN "SegmentCode" = 'XX' THEN 1 ELSE 0 END)::BIGINT AS bad,
+       CASE WHEN "TaxYear" = {V.TEST_YEAR} THEN 2 ELSE 1 END AS loads
+FROM bills WHERE "TaxYear" <> {V.TEST_YEAR} OR "SegmentCode" <> 'XX' GROUP BY 1""")
+def load_years_query(spark, d):
+    """Loaded, loaded again, and once more after one year's files were corrected."""
+    base = scratch_path(spark, "loads")
+    bills = V.bills(spark, d).select("PIN", "TaxYear", "SegmentCode")
+    layout = text_schema(["PIN", "TaxYear", "SegmentCode"])
+
+    def read(paths):
+        return read_bills(spark, paths, layout).withColumn("TaxYear", F.col("TaxYear").cast("int"))
+
+    def file(name, rows):
+        rows.write.option("sep", "|").csv(f"{base}/raw/{name}")
+
+    years = F.col("TaxYear") == V.TEST_YEAR
+    file("others", bills.where(~years))
+    file("first", bills.where(years))
+    target, raw = f"{base}/bills", [f"{base}/raw/others", f"{base}/raw/first"]
+    loads = [load_years(spark, raw, target, read), load_years(spark, raw, target, read)]
+    # the corrected year: the same files with other contents
+    bills.where(years & (F.col("SegmentCode") != "XX")).write.mode("overwrite").option("sep", "|").csv(f"{base}/raw/first")
+    loads.append(load_years(spark, raw, target, read))
+    told = [load.where("rows > 0").select(F.col("year").alias("y"), F.lit(i).alias("load")) for i, load in enumerate(loads)]
+    loaded = told[0].unionByName(told[1]).unionByName(told[2]).groupBy("y").agg(
+        F.count_distinct("load").cast("int").alias("loads"))
+    rows = read_years(spark, target)
+    return rows.groupBy("TaxYear").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("SegmentCode") == "XX").alias("bad"),
+    ).join(loaded, F.col("TaxYear") == F.col("y")).drop("y")
+
+
 @query("bills_parquet_years", V.with_views("bills") + """
 SELECT "TaxYear", count(*) AS n, round(sum("AdjustedAmountDue1"), 2) AS due
 FROM bills WHERE "TaxYear" IN (1997, 1999) GROUP BY "TaxYear\"""")
@@ -256,14 +329,25 @@ def filter_funnel(spark, d):
 
 
 @query("stage_sizes", V.with_views("labelled") + f"""
-SELECT 1 AS step, 'bills' AS stage, count(*) AS "rows", 51 AS "columns" FROM bills
-UNION ALL SELECT 2, 'cleaned', count(*), 51 FROM bills WHERE {_F5}
-UNION ALL SELECT 3, 'labelled', count(*), 59 FROM labelled WHERE {_F7}""")
+SELECT 1 AS step, 'bills' AS stage, count(*) AS "rows", {len(V.BILL_NAMES)} AS "columns" FROM bills
+UNION ALL SELECT 2, 'cleaned', count(*), {len(V.BILL_NAMES)} FROM bills WHERE {_F5}
+UNION ALL SELECT 3, 'labelled', count(*), {len(V.BILL_NAMES) + 8} FROM labelled WHERE {_F7}""")
 def stage_sizes(spark, d):
+    """Stages that are subsets of the labelled bills, from one pass."""
     bills = V.bills(spark, d)
-    cleaned = clean.exclude_sources(clean.exclude_zero_bills(clean.exclude_exempt(clean.keep_valid_rows(bills))))
-    labelled = clean.bound_days_late(label.label_bills(cleaned, V.due_dates(spark, d), "as_of", V.AS_OF))
-    return profile.stage_sizes({"bills": bills, "cleaned": cleaned, "labelled": labelled})
+    cleaned = clean.valid_row() & clean.not_exempt() & clean.billed() & clean.not_agent(["LastPaymentSource1", "LastPaymentSource2"])
+    bounded = cleaned & (F.col("DiffPmt2") < clean.MAX_DAYS_LATE_2) & (F.col("DiffPmt1") < clean.MAX_DAYS_LATE_1)
+    width = {"bills": len(bills.columns), "cleaned": len(bills.columns)}
+    return profile.stage_counts(V.labelled(spark, d), {"bills": F.lit(True), "cleaned": cleaned, "labelled": bounded}, width)
+
+
+@query("stage_sizes_of_frames", V.with_views("bills", "ledger") + """
+SELECT 1 AS step, 'bills' AS stage, count(*) AS "rows", 3 AS "columns" FROM bills
+UNION ALL SELECT 2, 'ledger', count(*), 6 FROM ledger""")
+def stage_sizes_of_frames(spark, d):
+    """Stages without a common ancestor."""
+    bills = V.bills(spark, d).select("PIN", "TaxYear", "TaxStatus")
+    return profile.stage_sizes({"bills": bills, "ledger": V.ledger(spark, d)})
 
 
 PIN_7 = "00055433"

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from billrisk import functions as X
-from billrisk.operators import profile, quantiles
+from billrisk.operators import distinct, frequent, profile, quantiles
+from billrisk.schema import EXEMPTION_AMOUNTS, NUMERIC_COLUMNS
 from suite import views as V
 from suite.registry import query
 
@@ -115,29 +116,29 @@ def histogram_bins(spark, d):
     return profile.histogram_bins(V.bills(spark, d), "CostAmountDue1", 10)
 
 
-CORRELATED = ["AdjustedAmountDue1", "TotalAmountDue1", "AdjustedTaxDue2", "TaxRate", "AssessedValuation",
-              "CostAmountDue1", "LastPaymentReceivedAmount2"]
-NULL_FREE = CORRELATED[:-1]
+NUMERIC = ["TaxYear", *[c for c in V.BILL_NAMES if c in {*NUMERIC_COLUMNS, *EXEMPTION_AMOUNTS}]]
 
 
-def _corr_sql(columns, order=None) -> str:
-    cells = [
-        f"SELECT '{a}' AS a, '{b}' AS b, " + (
-            "CAST(1.0 AS DOUBLE)" if a == b else f'round(corr("{a}", "{b}"), 6)') + " AS r FROM bills"
-        + (" LIMIT 1" if a == b else "")
-        for a in columns for b in columns
-    ]
-    return " UNION ALL ".join(f"({cell})" for cell in cells)
+def _corr_sql(columns, rows="bills") -> str:
+    """All pairs in one aggregate, then one row per cell."""
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1:]]
+    sums = ", ".join(f'round(corr("{a}", "{b}"), 6) AS "{a}|{b}"' for a, b in pairs)
+    cells = [f"SELECT '{c}' AS a, '{c}' AS b, CAST(1.0 AS DOUBLE) AS r" for c in columns]
+    cells += [f"""SELECT '{x}', '{y}', "{a}|{b}" FROM m""" for a, b in pairs for x, y in ((a, b), (b, a))]
+    return f", m AS MATERIALIZED (SELECT {sums} FROM {rows}) " + " UNION ALL ".join(cells)
 
 
-@query("correlation_matrix", V.with_views("bills") + _corr_sql(CORRELATED))
+@query("correlation_matrix", V.with_views("bills") + _corr_sql(NUMERIC))
 def correlation_matrix(spark, d):
-    return profile.correlation_matrix(V.bills(spark, d), CORRELATED)
+    """All numeric columns; each pair over the rows that know both."""
+    return profile.correlation_matrix(V.bills(spark, d), NUMERIC)
 
 
-@query("correlation_matrix_ml", V.with_views("bills") + _corr_sql(NULL_FREE))
+@query("correlation_matrix_ml", V.with_views("bills") + ", complete AS (SELECT * FROM bills WHERE " + " AND ".join(
+    f'"{c}" IS NOT NULL' for c in NUMERIC) + ")" + _corr_sql(NUMERIC, "complete"))
 def correlation_matrix_ml(spark, d):
-    return profile.correlation_matrix(V.bills(spark, d), NULL_FREE, nulls="complete")
+    """All numeric columns; rows without any null."""
+    return profile.correlation_matrix(V.bills(spark, d), NUMERIC, nulls="complete")
 
 
 PRUNE = ["AdjustedAmountDue1", "TotalAmountDue1", "TaxAmountDue1", "AdjustedTaxDue2", "TaxAmountDue2"]
@@ -159,9 +160,50 @@ def prune_correlated(spark, d):
     return spark.createDataFrame([(name,) for name in kept], "kept string")
 
 
-@query("winsorize", V.with_views("bills") + """
-, q AS (SELECT quantile_cont("TaxAmountDue1", 0.01) AS lo, quantile_cont("TaxAmountDue1", 0.99) AS hi FROM bills)
-SELECT "PIN", "TaxYear", round(greatest(lo, least(hi, "TaxAmountDue1")), 4) AS "TaxAmountDue1" FROM bills, q""")
+@query("winsorize", V.with_views("bills") + ", q AS (SELECT " + ", ".join(
+    f'quantile_cont("{c}", 0.01) AS "lo_{c}", quantile_cont("{c}", 0.99) AS "hi_{c}"' for c in NUMERIC) + """ FROM bills)
+SELECT "PIN", """ + ", ".join(
+    f"""round(CASE WHEN "{c}" < "lo_{c}" THEN "lo_{c}" WHEN "{c}" > "hi_{c}" THEN "hi_{c}" ELSE "{c}" END, 4)::DOUBLE AS "{c}\""""
+    for c in NUMERIC) + " FROM bills, q")
 def winsorize(spark, d):
-    rows = V.bills(spark, d).select("PIN", "TaxYear", "TaxAmountDue1")
-    return quantiles.winsorize(rows, "TaxAmountDue1").withColumn("TaxAmountDue1", F.round("TaxAmountDue1", 4))
+    """All numeric columns at once."""
+    rows = quantiles.winsorize(V.bills(spark, d).select("PIN", *NUMERIC), NUMERIC)
+    return rows.select("PIN", *[F.round(F.col(c).cast("double"), 4).alias(c) for c in NUMERIC])
+
+
+TOP = ["TaxCode", "PIN", "LastPaymentSource1"]
+
+
+@query("top_values", V.with_views("bills") + " UNION ALL ".join(f"""
+SELECT '{c}' AS feature, CAST(row_number() OVER (ORDER BY cnt DESC, value NULLS FIRST) AS INTEGER) AS rank, value, cnt,
+       cnt * CAST(100.0 AS DOUBLE) / total AS pct
+FROM (SELECT "{c}" AS value, count(*) AS cnt, sum(count(*)) OVER () AS total FROM bills GROUP BY 1)
+QUALIFY rank <= 10""" for c in TOP))
+def top_values(spark, d):
+    """Ten most frequent values of columns with many different ones."""
+    return frequent.top_values(V.bills(spark, d), TOP, 10)
+
+
+BY_AREA = ["TaxYear", "area"]
+COUNTED = ["PIN", "TaxCode", "Classification", "LastPaymentSource1"]
+
+
+@query("distinct_counts_by", V.with_views("bills") + " UNION ALL ".join(f"""
+SELECT "TaxYear", substr("PIN", 1, 2) AS area, '{c}' AS feature, count(DISTINCT "{c}") AS n
+FROM bills GROUP BY 1, 2 HAVING count("{c}") > 0""" for c in COUNTED))
+def distinct_counts_by(spark, d):
+    """Different values per year and area."""
+    rows = V.bills(spark, d).withColumn("area", X.area_code(F.col("PIN")))
+    return distinct.distinct_counts_by(rows, BY_AREA, COUNTED)
+
+
+@query("late_rate_levels", V.with_views("labelled") + """
+SELECT CASE (GROUPING("TaxYear") * 2 + GROUPING("P2")) WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 3 END AS level,
+       "TaxYear", "P2", count(*) AS n,
+       sum("LatePmt1") * CAST(100.0 AS DOUBLE) / count(*) AS late1_pct,
+       sum("LatePmt2") * CAST(100.0 AS DOUBLE) / count(*) AS late2_pct
+FROM (SELECT *, substr("PIN", 1, 2) AS "P2" FROM labelled) GROUP BY CUBE ("TaxYear", "P2")""")
+def late_rate_levels(spark, d):
+    """Late rates by year and area, by year, by area, and of all bills, in one pass."""
+    rows = V.labelled(spark, d).withColumn("P2", X.area_code(F.col("PIN")))
+    return profile.late_rate_levels(rows, [["TaxYear", "P2"], ["TaxYear"], ["P2"], []])

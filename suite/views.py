@@ -56,6 +56,8 @@ SELECT lpad(CAST((o_custkey * 7919) % 100000000 AS VARCHAR), 8, '0') AS "PIN",
        CASE WHEN l_linenumber = 5 THEN NULL ELSE l_discount END AS "LastPaymentReceivedAmount2",
        l_tax * 1000 AS "HomeownerExemptAmount",
        l_discount * 500 AS "SeniorExemptAmount",
+       l_extendedprice * l_tax AS "SeniorFreezeExemptAmount",
+       CASE WHEN l_linenumber = 4 THEN NULL ELSE l_quantity * 20 END AS "LongtimeHomeownersExemptAmount",
        l_extendedprice * 0.55 AS "TaxDueEstimated1",
        CAST(l_linenumber % 3 AS VARCHAR) AS "HomeownerExempt",
        CAST(l_suppkey % 3 AS VARCHAR) AS "SeniorExempt",
@@ -136,9 +138,15 @@ _NEEDS = {
 }
 
 
-def with_views(*names: str) -> str:
-    """``WITH ...`` for the named views and all they are built on."""
+def with_views(*names: str, replace: str | None = None) -> str:
+    """``WITH ...`` for the named views and all they are built on.
+
+    ``replace`` puts other expressions in the place of some columns of the bills.
+    """
     order: list[str] = []
+    views = dict(_SQL)
+    if replace is not None:
+        views["bills"] = f"SELECT * REPLACE ({replace}) FROM ({_SQL['bills']})"
 
     def visit(name: str) -> None:
         for needed in _NEEDS.get(name, []):
@@ -148,7 +156,7 @@ def with_views(*names: str) -> str:
 
     for name in names:
         visit(name)
-    return "WITH " + ",\n".join(f"{n} AS ({_SQL[n]})" for n in order) + "\n"
+    return "WITH " + ",\n".join(f"{n} AS ({views[n]})" for n in order) + "\n"
 
 
 # --------------------------------------------------------------------------
@@ -197,6 +205,8 @@ _BILL_COLUMNS = [
     "if(l_linenumber = 5, NULL, l_discount) AS LastPaymentReceivedAmount2",
     "l_tax * 1000 AS HomeownerExemptAmount",
     "l_discount * 500 AS SeniorExemptAmount",
+    "l_extendedprice * l_tax AS SeniorFreezeExemptAmount",
+    "if(l_linenumber = 4, NULL, l_quantity * 20) AS LongtimeHomeownersExemptAmount",
     "l_extendedprice * 0.55D AS TaxDueEstimated1",
     "string(l_linenumber % 3) AS HomeownerExempt",
     "string(l_suppkey % 3) AS SeniorExempt",

@@ -59,7 +59,7 @@ def test_export_and_reload(spark, result, tmp_path):
 def test_backtest_windows(spark):
     out = run_backtest(V.bills(spark, SF), V.due_dates(spark, SF), BacktestSettings(
         test_year=V.TEST_YEAR, train_years=3, as_of=V.AS_OF, forest=SMALL))
-    years = {r[0] for r in out.stages["train"].select("TaxYear").distinct().collect()}
+    years = {r[0] for r in out.stage("train").select("TaxYear").distinct().collect()}
     assert years == {V.TEST_YEAR - 3, V.TEST_YEAR - 2, V.TEST_YEAR - 1}
     assert {"TaxpayerMailingState_nonIL", "CofENumber_non0", "PastTaxSaleStatus_Y", "AreaFromPin_33",
             "AcquisitionStatus_1", "LatePmt1_0"} <= set(out.features)
