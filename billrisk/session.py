@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -58,11 +59,31 @@ class Scratch:
         place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
         self.paths.discard(path)
 
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Hand the table of ``df`` over to the scope around this one, if there is one."""
+        path = getattr(df, "_scratch_path", None)
+        if path in self.paths:
+            self.paths.discard(path)
+            around = _open[:_open.index(self)]
+            if around:
+                around[-1].paths.add(path)
+        return df
+
     def close(self) -> None:
         for path in sorted(self.paths):
             self.delete(path)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Let go of the shuffle files of steps that no frame refers to any more.
+
+    Spark removes them once the driver's collector has seen that they are
+    unreachable, which on a quiet driver can take longer than a whole job.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 _open: list[Scratch] = []
 
 
