@@ -10,9 +10,10 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from billrisk.session import materialize, scratch_path
+from billrisk.session import free, materialize, scratch, tidy, written
 
-__all__ = ["FrequencyClasses", "WordHashes", "bind", "materialize", "mix", "only", "packed", "read_table", "shingle_hashes", "split_words", "unpacked", "without", "written"]
+__all__ = ["FrequencyClasses", "WordHashes", "bind", "free", "materialize", "mix", "only", "packed", "read_table", "scratch",
+           "shingle_hashes", "split_words", "tidy", "unpacked", "unused", "without", "written"]
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -27,11 +28,12 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def written(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """Cut the lineage with a Parquet table in the shared folder (compact, for wide rows)."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.options(**options).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until none of the frames has a column of that name."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 500_000) -> DataFrame:
@@ -39,16 +41,18 @@ def without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_r
 
     At most ``broadcast_rows`` ids (8 bytes each) are sent to the documents, more meet them by shuffle.
     """
-    ids = materialize(ids.toDF("_gone").distinct())
+    gone = unused("_gone", docs)
+    ids = materialize(ids.toDF(gone).distinct())
     side = F.broadcast(ids) if ids.count() <= broadcast_rows else ids
-    return docs.join(side, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    return docs.join(side, F.col(id_col).eqNullSafe(F.col(gone)), "left_anti")
 
 
 def only(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", broadcast_rows: int = 500_000) -> DataFrame:
     """The rows of ``docs`` whose id is in the one column of ``ids``, by the same choice as in ``without``."""
-    ids = materialize(ids.toDF("_wanted").distinct())
+    wanted = unused("_wanted", docs)
+    ids = materialize(ids.toDF(wanted).distinct())
     side = F.broadcast(ids) if ids.count() <= broadcast_rows else ids
-    return docs.join(side, F.col(id_col) == F.col("_wanted"), "left_semi")
+    return docs.join(side, F.col(id_col) == F.col(wanted), "left_semi")
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -66,16 +70,18 @@ def unpacked(data: bytes) -> str:
 
 
 class WordHashes(dict):
-    """64-bit hash of a word, remembered while a task runs; the memory is bounded by ``limit`` words."""
+    """64-bit hash of a word, remembered while a task runs: at most ``limit`` words of at most 64 bytes."""
 
-    def __init__(self, limit: int = 1 << 18):
+    def __init__(self, limit: int = 1 << 17):
         super().__init__()
         self.limit = limit
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = value
         return value
 
     def of(self, words: list[bytes]) -> np.ndarray:
@@ -126,14 +132,16 @@ class FrequencyClasses:
         return self.table[self.cells(tokens)]
 
     @classmethod
-    def count(cls, docs: DataFrame, column: str, tokens_of) -> FrequencyClasses:
-        """``tokens_of()`` makes, inside a task, a function from text to hashed tokens."""
+    def count(cls, docs: DataFrame, column: str, tokens_of, block: int = 0) -> FrequencyClasses:
+        """``tokens_of()`` makes, inside a task, a function from a text, or from ``block`` texts, to hashed tokens."""
         size = 1 << cls.BITS
 
         def tally(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
             tokens, counts = tokens_of(), np.zeros(size, np.int64)
             for batch in batches:
-                for text in batch.column(0).to_pylist():
+                for i in range(0, batch.num_rows, block) if block else ():
+                    counts += np.bincount(cls.cells(tokens(batch.column(0).slice(i, block).to_pylist())).astype(np.int64), minlength=size)
+                for text in () if block else batch.column(0).to_pylist():
                     if text:
                         np.add.at(counts, cls.cells(tokens(text)).astype(np.int64), 1)
             used = np.flatnonzero(counts)

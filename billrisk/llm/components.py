@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from billrisk.llm.common import written
+from billrisk.llm.common import free, scratch, tidy, written
 
 
 def _cut(df: DataFrame) -> DataFrame:
@@ -20,22 +20,39 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the smallest label of the neighbours, then the label of
     the label, so that long chains shrink quickly.  Joins read tables that are
     already written and hold no other step, so adaptive execution can split a
-    hot id; the minima combine before they are shuffled.
+    hot id; the minima combine before they are shuffled.  The tables of a round
+    are deleted when the next ones stand.
     """
-    edges = links.where("a <> b").select("a", "b").distinct()
-    edges = _cut(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-    labels = _cut(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
-                         .select("id", F.least("id", "m").alias("comp")))
-    while True:
-        offers = edges.join(labels, edges.a == labels.id).select(F.col("b").alias("id"), "comp", F.lit(None).cast(labels.schema["id"].dataType).alias("old"))
-        held = labels.select("id", "comp", F.col("comp").alias("old"))
-        nearer = _cut(offers.union(held).groupBy("id").agg(F.min("comp").alias("comp"), F.max("old").alias("old")))
-        up = nearer.select(F.col("id").alias("up"), F.col("comp").alias("root"))
-        labels = _cut(nearer.join(up, nearer.comp == up.up, "left")
-                             .select("id", F.coalesce("root", "comp").alias("comp"), "old"))
-        if labels.where("comp <> old").isEmpty():
-            return labels.drop("old")
-        labels = labels.drop("old")
+    with scratch(links.sparkSession) as scope:
+        edges = links.where("a <> b").select("a", "b").distinct()
+        edges = _cut(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
+        labels = _cut(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
+                           .select("id", F.least("id", "m").alias("comp")))
+        while True:
+            none = F.lit(None).cast(labels.schema["id"].dataType)
+            offers = edges.join(labels, edges.a == labels.id).select(F.col("b").alias("id"), "comp", none.alias("old"))
+            held = labels.select("id", "comp", F.col("comp").alias("old"))
+            nearer = _cut(offers.union(held).groupBy("id").agg(F.min("comp").alias("comp"), F.max("old").alias("old")))
+            up = nearer.select(F.col("id").alias("up"), F.col("comp").alias("root"))
+            moved = _cut(nearer.join(up, nearer.comp == up.up, "left")
+                               .select("id", F.coalesce("root", "comp").alias("comp"), "old"))
+            free(labels, nearer)
+            if moved.where("comp <> old").isEmpty():
+                break
+            labels = moved.select("id", "comp")
+            labels._scratch_path = moved._scratch_path
+        done = scope.keep(moved).select("id", "comp")
+        done._scratch_path = moved._scratch_path
+    return done
+
+
+def verified(verify: Callable[[DataFrame], DataFrame], pairs: DataFrame) -> DataFrame:
+    """The links among ``pairs``, written; what ``verify`` wrote on the way is deleted, and so are the pairs."""
+    with scratch(pairs.sparkSession) as scope:
+        out = scope.keep(_cut(verify(pairs)))
+    free(pairs)
+    tidy(pairs.sparkSession)
+    return out
 
 
 Near = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
@@ -46,13 +63,16 @@ def _side(lists: DataFrame, name: str, extra: list[str]) -> DataFrame:
 
 
 def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Near | None = None,
-               short: int = 64, star_rounds: int = 8) -> DataFrame:
+               short: int = 64, star_rounds: int = 8, least: Callable[[Column, Column], Column] | None = None,
+               broadcast_rows: int = 500_000) -> DataFrame:
     """Verified links (a, b, ...) that join everything which any list should join.
 
     ``lists`` (key, id, ...), without repeated rows: members of one key are
     candidates of each other.  ``near`` gets two functions from the name of a
     further column to that column of either member, and rules out pairs
     cheaply; ``verify`` takes pairs (a < b) and returns those that are links.
+    ``least``, from the sizes ``n`` of both, says in how many lists a pair has
+    to occur to be a link; a pair counts as occurring in every long list.
     In lists of up to ``short`` members every pair is looked at, which is at
     most ``short`` comparisons a row; longer lists follow by stars.  The result
     need not hold every link, but two members of a list with a link are always
@@ -66,9 +86,22 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], near:
     pairs = _side(few, "x", extra).join(_side(few, "y", extra), "key").where("x < y")
     if near is not None:
         pairs = pairs.where(near(lambda c: F.col("x_" + c), lambda c: F.col("y_" + c)))
-    links = _cut(verify(_cut(pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())))
+    if least is None:
+        pairs = pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
+    else:  # how many of its lists are long is known for each member
+        busy = shared.where(F.col("m") > short).groupBy("id").agg(F.count("*").alias("long"))
+        counted = pairs.groupBy(F.col("x").alias("a"), F.col("y").alias("b")).agg(
+            F.count("*").alias("c"), least(F.max("x_n"), F.max("y_n")).alias("least"))
+        busy = written(busy, "busy")
+        busy = F.broadcast(busy) if busy.count() <= broadcast_rows else busy
+        pairs = counted.join(busy.select(F.col("id").alias("a"), "long"), "a", "left").where(
+            F.col("c") + F.coalesce("long", F.lit(0)) >= F.col("least")).select("a", "b")
+    links = verified(verify, _cut(pairs))
     many = shared.where(F.col("m") > short).drop("m")
-    return links if many.isEmpty() else _star_links(many, extra, links, verify, near, short, star_rounds)
+    if not many.isEmpty():
+        links = _star_links(many, extra, links, verify, near, short, star_rounds)
+    free(shared)
+    return links
 
 
 def _star_links(lists: DataFrame, extra: list[str], links: DataFrame, verify: Callable[[DataFrame], DataFrame],
@@ -82,9 +115,11 @@ def _star_links(lists: DataFrame, extra: list[str], links: DataFrame, verify: Ca
     """
     before, budget = None, max(3, short) * lists.count()
     for turn in range(star_rounds + 1):
-        comp = components(links).withColumnRenamed("id", "of")
+        found = components(links)
+        comp = found.withColumnRenamed("id", "of")
         labelled = _cut(lists.join(comp, lists.id == comp.of, "left")
                                .select("key", "id", *extra, F.coalesce("comp", "id").alias("comp")))
+        free(found)
         parts = labelled.groupBy("key", "comp").agg(F.count("*").alias("m"))
         lead = parts.groupBy("key").agg(
             F.max(F.struct("m", "comp")).alias("top"), F.sum("m").alias("all"), F.count("*").alias("parts"))
@@ -92,6 +127,7 @@ def _star_links(lists: DataFrame, extra: list[str], links: DataFrame, verify: Ca
             "key", "all", F.col("top.comp").alias("top"), (F.col("all") - F.col("top.m")).alias("rest")))
         open_pairs = lead.agg(F.sum(F.col("rest") * F.col("all"))).first()[0]
         if not open_pairs:
+            free(labelled, lead)
             break
         last = turn == star_rounds or open_pairs <= budget or (before is not None and open_pairs > 0.7 * before)
         before = open_pairs
@@ -99,17 +135,23 @@ def _star_links(lists: DataFrame, extra: list[str], links: DataFrame, verify: Ca
         if last:
             aside = _cut(x.join(lead.select("key", "top"), "key").where("x_comp <> top").drop("top"))
             pairs = aside.join(y, "key")
+            spare = aside
         else:
             # a pivot that differs from turn to turn, so that some turn takes it from a large component
             mark = F.xxhash64("id", F.lit(turn)).alias("mark")
             pivot = labelled.join(lead.select("key"), "key", "left_semi").groupBy("key").agg(
                 F.min(F.struct(mark, "id", *extra, "comp")).alias("p"))
-            pairs = x.join(_cut(_side(pivot.select("key", "p.*"), "y", [*extra, "comp"])), "key")
+            spare = _cut(_side(pivot.select("key", "p.*"), "y", [*extra, "comp"]))
+            pairs = x.join(spare, "key")
         pairs = pairs.where("x_comp <> y_comp")
         if near is not None:
             pairs = pairs.where(near(lambda c: F.col("x_" + c), lambda c: F.col("y_" + c)))
         pairs = _cut(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        links = _cut(links.union(verify(pairs)))
+        free(labelled, lead, spare)
+        more = verified(verify, pairs)
+        both = _cut(links.union(more))
+        free(links, more)
+        links = both
         if last:
             break
     return links

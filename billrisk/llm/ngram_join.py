@@ -10,7 +10,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from billrisk.llm.common import FrequencyClasses, WordHashes, materialize, packed, shingle_hashes, split_words, unpacked, written
+from billrisk.llm.common import (
+    FrequencyClasses, WordHashes, free, materialize, packed, scratch, shingle_hashes, split_words, tidy, unpacked, written,
+)
 from billrisk.llm.components import components, link_lists
 
 
@@ -31,6 +33,8 @@ def _needed(n: int | np.ndarray, percent: int):
     return -(-n * percent // 100)
 
 
+EXTRA = 2  # short lists beyond the least number; so many more occurrences are asked for
+_BLOCK = 128  # members of a component that are counted against each other at once
 _SKETCH = 8  # 64-bit words of parity bits per set
 
 
@@ -43,10 +47,10 @@ def _parity(grams: np.ndarray) -> np.ndarray:
 def gram_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, classes: FrequencyClasses) -> DataFrame:
     """(doc_id, n, cid, short, sketch) per row: size, identity and parity bits of its set, the n-grams of its short lists.
 
-    With T the overlap that any partner must reach, the T - 1 most frequent
-    n-grams are the long lists; a partner must share one of the other
-    n - T + 1, the short ones.  "Frequent" is the corpus-wide order of
-    (frequency class, hash).
+    With T the overlap that any partner must reach, the T - 1 - EXTRA most
+    frequent n-grams are the long lists; a partner must occur in 1 + EXTRA of the
+    others, the short ones.  "Frequent" is the corpus-wide order of (frequency
+    class, hash).
     """
     def build(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
         grams_of = _grams_of(k)()
@@ -55,7 +59,7 @@ def gram_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
             for text in batch.column(1).to_pylist():
                 grams = grams_of(text)
                 n = len(grams)
-                take = n - int(_needed(n, percent)) + 1 if n else 0
+                take = n - int(_needed(n, percent)) + 1 + EXTRA if n else 0
                 order = np.lexsort((grams, classes.of(grams)))[:take] if n else slice(0)
                 sizes.append(n)
                 cids.append(_class_id(grams) if n else None)
@@ -82,9 +86,9 @@ def _texts_of(rows: DataFrame, k: int) -> DataFrame:
     return rows.select("text").mapInArrow(run, "cid long, text binary")
 
 
-def _probe(k: int, percent: int):
+def _probe(k: int, percent: int, step: int = 128):
     def check(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        """Binary search of the smaller set's members in the larger set."""
+        """Binary search of the smaller set's members in the larger set, until enough or too few can be shared."""
         plain = _grams_of(k)()
         grams_of = lru_cache(32)(lambda data: plain(unpacked(data)))  # rows of one text come one after another
         for batch in batches:
@@ -93,66 +97,149 @@ def _probe(k: int, percent: int):
                 a, b = grams_of(x), grams_of(y)
                 if len(a) > len(b):
                     a, b = b, a
-                at = np.searchsorted(b, a)
-                at[at == len(b)] = 0
-                shared = int((b[at] == a).sum())
-                keep.append(100 * shared >= percent * (len(a) + len(b) - shared))
+                need, shared = -(-percent * (len(a) + len(b)) // (100 + percent)), 0
+                for i in range(0, len(a), step):
+                    part = a[i:i + step]
+                    at = np.searchsorted(b, part)
+                    at[at == len(b)] = 0
+                    shared += int((b[at] == part).sum())
+                    if shared >= need or shared + len(a) - i - len(part) < need:
+                        break
+                keep.append(shared >= need)
             mask = pa.array(keep, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
 
     return check
 
 
+def _shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, from products of the incidence matrix, a slice of n-grams at a time."""
+    grams, place = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    edges = np.searchsorted(place, np.arange(0, len(grams) + 4096, 4096))
+    for i, (a, b) in enumerate(zip(edges, edges[1:])):
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[owner[a:b], place[a:b] - 4096 * i] = 1
+        out += part @ part.T
+    return out
+
+
+def count_links(members: DataFrame, k: int, percent: int, block: int = _BLOCK) -> DataFrame:
+    """(cid, links): how many rows of other classes each class links with, from (cid, comp, m, n, text).
+
+    ``m`` is the number of rows of a class, ``text`` its compressed text.  The
+    classes of a component are dealt into blocks by a hash, and every two blocks
+    are compared in a task of their own, so a component of any size is spread
+    over tasks and no pair becomes a row.
+    """
+    sizes = members.groupBy("comp").agg(F.count("*").alias("all"))
+    blocks = F.ceil(F.col("all") / block).cast("int")
+    dealt = members.join(sizes.where("all > 1"), "comp").select(
+        "comp", "cid", "m", "text", blocks.alias("blocks"), F.pmod(F.xxhash64("cid"), blocks).cast("int").alias("mine"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("comp", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"), "mine", "cid", "m", "text")
+    met = met.repartition("comp", "low", "high").sortWithinPartitions("comp", "low", "high")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        grams_of = _grams_of(k)()
+
+        def finish(rows):
+            cid, m = np.array([r[4] for r in rows], np.int64), np.array([r[5] for r in rows], np.int64)
+            mine, same = np.array([r[3] for r in rows]), rows[0][1] == rows[0][2]
+            sets = [grams_of(unpacked(r[6])) for r in rows]
+            n = np.array([len(s) for s in sets])
+            shared = _shared_counts(sets)
+            linked = 100 * shared >= percent * (n[:, None] + n[None, :] - shared)
+            np.fill_diagonal(linked, False)
+            if not same:
+                linked &= mine[:, None] != mine[None, :]
+            return pa.RecordBatch.from_arrays([pa.array(cid), pa.array(linked @ m)], ["cid", "links"])
+
+        held, at = [], None
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:3] != at and held:
+                    yield finish(held)
+                    held = []
+                at = row[:3]
+                held.append(row)
+        if held:
+            yield finish(held)
+
+    return met.mapInArrow(count, "cid long, links long").groupBy("cid").agg(F.sum("links").alias("links"))
+
+
 def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
                        percent: int = 90, broadcast_rows: int = 500_000) -> DataFrame:
-    """(doc_id, n_shingles, component_id, class_id): one row per row of ``docs``.
+    """(doc_id, n_shingles, component_id, class_id, n_links): one row per row of ``docs``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case; a document's set
     holds its distinct runs of k words, or its whole sequence if it has fewer.
     Two rows link when 100 * |intersection| >= percent * |union|;
-    ``component_id`` is the smallest id that links reach.  Rows with equal sets
-    are one class and searched once.  Candidates come from the short inverted
-    lists; the long ones are never joined but probed by binary search for each
-    candidate that parity bits of the sets do not rule out.  Hashes of 64 bits stand for n-grams.
+    ``component_id`` is the smallest id that links reach, ``n_links`` the number
+    of other rows a row links with, ``class_id`` is shared by rows with equal
+    sets, which are searched once.  Candidates come from merging the short
+    inverted lists and counting occurrences; the long ones are never joined but
+    probed by binary search for each candidate that parity bits of the sets do
+    not rule out.  Links inside a component are counted block by block.  Hashes
+    of 64 bits stand for n-grams.
 
     Null or wordless text: no shingle, linked with nothing, its own component.
     Null ids: the row is returned with its set size; it may connect others but
     has no id to give, so a component of null ids only has a null id.  Rows that
-    repeat an id are returned as often.  An empty table gives an empty result.
-    Extra columns are ignored.
+    repeat an id are returned as often.  Texts of any length are taken whole.
+    An empty table gives an empty result.  Extra columns are ignored.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    counted = FrequencyClasses.count(texts, "text", _grams_of(k))
-    rows = written(gram_sets(texts, "doc_id", "text", k, percent, counted), "gram-sets")
-    classes = rows.where("cid is not null").groupBy("cid").agg(
-        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.min("short").alias("short"),
-        F.min("sketch").alias("sketch"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("home"))
-    classes = written(classes, "gram-classes")
-
-    lists = classes.select(F.explode("short").alias("key"), F.col("cid").alias("id"), "n")
-    keyed = texts.withColumn("home", F.coalesce("doc_id", F.lit(-1)))
-
-    def near(x, y) -> Column:
-        return 100 * F.least(x("n"), y("n")) >= percent * F.greatest(x("n"), y("n"))
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        # two sets as similar as asked differ in at most (n + m) * (100 - percent) / (100 + percent) members
-        p, q = (classes.select(F.col("cid").alias(c), F.col("n").alias("n" + c), F.col("sketch").alias("s" + c)) for c in "ab")
-        flips = [F.bit_count(F.get("sa", i).bitwiseXOR(F.get("sb", i))) for i in range(_SKETCH)]
-        close = materialize(pairs.join(p, "a").join(q, "b").where(
-            sum(flips[1:], flips[0]) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b"))
-        busy = close.select(F.col("a").alias("cid")).union(close.select(F.col("b"))).distinct()
-        homes = materialize(classes.join(busy, "cid", "left_semi").select("home").distinct())
-        side = F.broadcast(homes) if homes.count() <= broadcast_rows else homes
-        found = written(_texts_of(keyed.join(side, "home", "left_semi"), k).dropDuplicates(["cid"]), "gram-texts")
-        p, q = found.select(F.col("cid").alias("a"), F.col("text").alias("p")), found.select(F.col("cid").alias("b"), F.col("text").alias("q"))
-        return close.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(k, percent), "a long, b long")
-
-    comp = components(link_lists(lists, verify, near, short=3))
-    members = classes.select("cid", "rep").join(comp.withColumnRenamed("id", "cid"), "cid", "left").select(
-        "cid", "rep", F.coalesce("comp", "cid").alias("comp"))
-    least = members.groupBy("comp").agg(F.min("rep").alias("least"))
-    of_class = materialize(members.join(least, "comp").select("cid", "least"))
-    return rows.join(of_class, "cid", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"),
-        F.col("cid").alias("class_id"))
+    spark = docs.sparkSession
+    with scratch(spark) as scope:
+        texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+        counted = FrequencyClasses.count(texts, "text", _grams_of(k))
+        rows = written(gram_sets(texts, "doc_id", "text", k, percent, counted), "gram-sets", compression="zstd")
+        classes = rows.where("cid is not null").groupBy("cid").agg(
+            F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("m"), F.min("short").alias("short"),
+            F.min("sketch").alias("sketch"), F.min(F.coalesce("doc_id", F.lit(-1))).alias("home"))
+        classes = written(classes, "gram-classes", compression="zstd")
+        ids = written(rows.select("doc_id", "n", "cid"), "gram-ids")
+        free(rows)
+        tidy(spark)
+
+        lists = classes.select(F.explode("short").alias("key"), F.col("cid").alias("id"), "n")
+        keyed = texts.withColumn("home", F.coalesce("doc_id", F.lit(-1)))
+
+        def near(x, y) -> Column:
+            return 100 * F.least(x("n"), y("n")) >= percent * F.greatest(x("n"), y("n"))
+
+        def texts_of(cids: DataFrame) -> DataFrame:
+            """(cid, text) of classes, from one row of each."""
+            homes = materialize(classes.join(cids, "cid", "left_semi").select("home").distinct())
+            side = F.broadcast(homes) if homes.count() <= broadcast_rows else homes
+            return written(_texts_of(keyed.join(side, "home", "left_semi"), k).dropDuplicates(["cid"]), "gram-texts")
+
+        def verify(pairs: DataFrame) -> DataFrame:
+            # two sets as similar as asked differ in at most (n + m) * (100 - percent) / (100 + percent) members
+            p, q = (classes.select(F.col("cid").alias(c), F.col("n").alias("n" + c), F.col("sketch").alias("s" + c)) for c in "ab")
+            flips = [F.bit_count(F.get("sa", i).bitwiseXOR(F.get("sb", i))) for i in range(_SKETCH)]
+            close = materialize(pairs.join(p, "a").join(q, "b").where(
+                sum(flips[1:], flips[0]) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b"))
+            found = texts_of(close.select(F.col("a").alias("cid")).union(close.select(F.col("b"))).distinct())
+            p, q = found.select(F.col("cid").alias("a"), F.col("text").alias("p")), found.select(F.col("cid").alias("b"), F.col("text").alias("q"))
+            return close.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(k, percent), "a long, b long")
+
+        links = link_lists(lists, verify, near, short=3, least=lambda n, m: F.least(
+            F.lit(1 + EXTRA), F.ceil((n + m) * percent / (100 + percent))))
+        comp = components(links)
+        free(links)
+        of = comp.withColumnRenamed("id", "cid")
+        linked = classes.select("cid", "m").join(of, "cid")
+        counts = written(count_links(linked.join(texts_of(of.select("cid")), "cid"), k, percent), "link-counts")
+        members = classes.select("cid", "rep", "m").join(of, "cid", "left").select(
+            "cid", "rep", "m", F.coalesce("comp", "cid").alias("comp"))
+        least = members.groupBy("comp").agg(F.min("rep").alias("least"))
+        of_class = written(members.join(least, "comp").join(counts, "cid", "left").select(
+            "cid", "least", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n_links")), "of-class")
+        return scope.keep(written(ids.join(of_class, "cid", "left").select(
+            "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"),
+            F.col("cid").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")), "joined"))

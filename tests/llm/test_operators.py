@@ -3,6 +3,7 @@
 import hashlib
 import os
 import random
+import re
 
 import numpy as np
 import pytest
@@ -73,6 +74,58 @@ def test_ngram_join(spark, docs):
     assert ngram_join.ngram_jaccard_join(docs.where("false")).count() == 0
 
 
+def brute_links(rows, k=3, percent=90):
+    """{id: (size, smallest id reached, links)} from all pairs."""
+    sets = {}
+    for i, t in rows:
+        words = [] if t is None else re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        sets[i] = {tuple(words[j:j + k]) for j in range(max(1, len(words) - k + 1))} if words else set()
+    links = {i: [j for j in sets if j != i and sets[i] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])] for i in sets}
+    least = {i: i for i in sets}
+    for _ in sets:
+        least = {i: min([least[i], *(least[j] for j in links[i])]) for i in sets}
+    return {i: (len(sets[i]), least[i], len(links[i])) for i in sets}
+
+
+def test_ngram_join_is_that_of_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for g in range(12):
+        base = text(100 + g, rng.choice([2, 3, 4, 12, 40, 200])).split()
+        for _ in range(rng.randint(1, 9)):
+            words = list(base)
+            for _ in range(rng.randint(0, max(1, len(words) // 60))):
+                words[rng.randrange(len(words))] = rng.choice(WORDS)
+            rows.append((len(rows), " ".join(words).title() if rng.random() < 0.3 else "\n".join(words)))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in ngram_join.ngram_jaccard_join(frame(spark, rows)).collect()}
+    assert got == brute_links(rows)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_ngram_query_is_that_of_brute_force(spark):
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in queries.QUERIES["op2_ngram_jaccard_join"](spark, SF).collect()}
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    assert got == brute_links(rows)
+
+
+def test_links_are_counted_across_blocks(spark):
+    """A component of several blocks, rows of equal sets counted as often as they are."""
+    base = text(70, 200).split()
+    rows = []
+    for i in range(40):
+        words = list(base)
+        words[i * 4] = f"own{i // 2}"  # pairs of rows are equal in part
+        rows.append((i, " ".join(words)))
+    rows += [(100, rows[0][1]), (101, rows[0][1])]
+    sets = ngram_join._grams_of(3)()
+    made = [(int(ngram_join._class_id(sets(t))), 1, 3 if i == 0 else 1, len(sets(t)), ngram_join.packed(t)) for i, t in rows[:40]]
+    members = spark.createDataFrame(made, "cid long, comp long, m long, n long, text binary")
+    got = {r.cid: r.links for r in ngram_join.count_links(members, 3, 90, block=7).collect()}
+    want = brute_links(rows)
+    for i, row in enumerate(made):
+        assert got[row[0]] + row[2] - 1 == want[i][2]
+
+
 def test_ngram_join_of_one_large_group(spark):
     base = text(11, 300).split()
     rows = []
@@ -180,18 +233,72 @@ def test_word_edits_match_the_table():
         assert line_dedup.word_edits(a, b) == table(a, b)
 
 
-def test_block_keys_share_one_within_the_distance(spark):
+def edited(rng, words, edits):
+    """Words with some of them replaced, left out or put in."""
+    out = list(words)
+    for _ in range(edits):
+        kind, at = rng.randrange(3), rng.randrange(len(out))
+        if kind == 0:
+            out[at] = f"new{rng.randrange(10 ** 6)}"
+        elif kind == 1 and len(out) > 5:
+            del out[at]
+        else:
+            out.insert(at, rng.choice(WORDS))
+    return out
+
+
+def test_lines_with_edits_are_found(spark):
+    """Lines of 5 to 60 words over common and rare words, one edit and as many as the similarity allows, against brute force."""
     rng = random.Random(2)
-    pairs = []
-    for _ in range(200):
-        x = rng.getrandbits(64)
-        y = x
-        for bit in rng.sample(range(64), 3):
-            y ^= 1 << bit
-        pairs.append(tuple(v - (1 << 64) if v >> 63 else v for v in (x, y)))
-    df = spark.createDataFrame(pairs, "x long, y long")
-    shared = df.select(F.arrays_overlap(line_dedup.block_keys(F.col("x"), 3), line_dedup.block_keys(F.col("y"), 3)).alias("s"))
-    assert shared.where("not s").count() == 0
+    rows, pairs = [], []
+    for n in (5, 7, 10, 15, 20, 30, 50, 60):
+        for i in range(24):
+            words = [rng.choice(WORDS[:40]) if rng.random() < 0.5 else f"rare{rng.randrange(10 ** 5)}" for _ in range(n)]
+            other = edited(rng, words, 1 if i % 2 else max(1, n // 6))
+            a, b = len(rows), len(rows) + 1
+            rows += [(a, " ".join(words).capitalize() + "."), (b, " ".join(other))]
+            pairs.append((n, a, b, line_dedup.alike(words, other, 0.8)))
+    _, removed = line_dedup.repeated_lines(frame(spark, rows))
+    gone = {r.doc_id for r in removed.collect()}
+    links = [(n, b in gone) for n, _, b, same in pairs if same]
+    assert len(links) > 150 and sum(found for _, found in links) >= 0.97 * len(links)
+    assert all(a not in gone for _, a, _, _ in pairs) and all(b not in gone for _, _, b, same in pairs if not same)
+
+
+def test_lines_of_any_length_and_clashing_columns(spark):
+    rows = [(1, "a b c d\nother words"), (2, "A b, c d!\nwhat else"), (3, "a b c d"), (None, "a b c d"), (4, None), (5, ""), (6, "one"), (7, "One")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "1 AS _gone", "2 AS _of", "3 AS _left", "4 AS h", "5 AS line_no", "6 AS id")
+    left = [(r.doc_id, r.text) for r in line_dedup.drop_repeated_lines(docs).collect()]
+    assert sorted(left, key=repr) == sorted([(1, rows[0][1]), (2, "what else"), (None, "a b c d"), (4, None), (5, ""), (6, "one")], key=repr)
+    assert line_dedup.drop_repeated_lines(docs).columns == docs.columns
+
+
+def test_groups_of_line_copies_larger_than_a_block(spark):
+    """Copies with one word of their own each, cut into blocks, and two kinds that share their rare words only."""
+    rng = random.Random(4)
+    base = [f"base{i}" for i in range(20)]
+    rows = [(i, " ".join(base[:i % 20] + [f"own{i}"] + base[i % 20 + 1:])) for i in range(60)]
+    rows += [(100 + i, " ".join(base[:4] + [f"x{rng.randrange(10 ** 6)}" for _ in range(16)])) for i in range(12)]
+    _, removed = line_dedup.repeated_lines(frame(spark, rows), block=8)
+    assert {r.doc_id for r in removed.collect()} == set(range(1, 60))
+
+
+def test_links_do_not_depend_on_the_order_of_lines():
+    rng = random.Random(6)
+    lines = [[rng.choice("abcdef") for _ in range(6)] for _ in range(60)]
+    sims = np.array([line_dedup.hash_lines([" ".join(x)])[4][0] for x in lines])
+    want = {(i, j) for i in range(60) for j in range(i) if line_dedup.alike(lines[i], lines[j], 0.8)
+            and bin(int(sims[i]) ^ int(sims[j]) & (1 << 64) - 1).count("1") <= line_dedup.FAR}
+
+    def parts(links):
+        root = list(range(60))
+        for _ in range(60):
+            for i, j in links:
+                root[i] = root[j] = min(root[i], root[j])
+        return root
+
+    assert parts(line_dedup.link_group(sims, lines, np.arange(60), 0.8)) == parts(want)
 
 
 def test_quality_rules(spark, docs):
