@@ -29,6 +29,13 @@ def drop_groups(df: DataFrame, groups: Sequence[str], keep: Sequence[str] = ())
     return df.drop(*[c for c in df.columns if c in doomed])
 
 
+def named_columns(df: DataFrame, names: Sequence[str] = (), positions: Sequence[tuple[int, int]] = ()) -> list[str]:
+    """Columns of ``df`` by name and by stretches of positions, the end exclusive; what is not there is left out."""
+    there = df.columns
+    listed = [c for a, b in positions for c in there[a:b]] + [c for c in names if c in there]
+    return list(dict.fromkeys(listed))
+
+
 def cast_numeric(df: DataFrame, columns: Sequence[str] = tuple(NUMERIC_COLUMNS)) -> DataFrame:
     """Text amounts to double in one projection; bad text gives null."""
     return df.withColumns({c: as_number(F.col(c)) for c in columns if c in df.columns})

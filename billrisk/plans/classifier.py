@@ -20,7 +20,10 @@ class ClassifierSettings:
     """``split="year"`` tests on ``current_year``; ``"random"`` keeps a share of all rows for it.
 
     ``woe_from="train"`` fits the category weights on training rows;
-    ``"all"`` on every row, which leaks the test labels.
+    ``"all"`` on every row, which leaks the test labels.  ``later_columns`` and
+    ``later_positions`` (stretches of the bill file, the end exclusive) say which
+    further columns are known only after the second instalment; they never
+    become features, whatever their names.
     """
 
     current_year: int
@@ -32,6 +35,8 @@ class ClassifierSettings:
     train_share: float = 0.8
     seed: int = 100
     woe_from: str = "train"
+    later_columns: tuple[str, ...] = ()
+    later_positions: tuple[tuple[int, int], ...] = ()
     woe_columns: tuple[str, ...] = tuple(WOE_COLUMNS)
     forest: forests.ForestSettings = forests.CLASSIFIER
     threshold_op: str = ">"
@@ -54,7 +59,8 @@ def clean_bills(bills: DataFrame, calendar: DataFrame, settings: ClassifierSetti
     )
     bounded = clean.bound_days_late(labelled)
     groups = ["instalment_2", "unrelated", "near_constant", "correlated", "low_importance"]
-    return clean.drop_groups(bounded, groups)
+    later = clean.named_columns(bills, settings.later_columns, settings.later_positions)
+    return clean.drop_groups(bounded, groups).drop(*[c for c in later if c not in (KEY, YEAR)])
 
 
 def simple_features(df: DataFrame) -> DataFrame:

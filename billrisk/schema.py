@@ -67,10 +67,6 @@ COLUMN_GROUPS = {
         "DisabledPersonExemptionAmount", "ReturningVetExemptionAmount", "SeniorFreezeExempt",
         "MunicipalAcquisitionStatus", "TaxpayerMailingState", "CofENumber", "Volume",
     ],
-    "ledger_unrelated": [
-        "TaxPayer", "SerialNumber", "RefundNumber", "Volume", "TaxYear", "WarrantYear", "TaxType",
-        "DateUpdated", "TaxPaid", "InterestPaid", "CostPaid",
-    ],
     "dates_and_marks": [
         "LastPaymentDate1", "LastPaymentDate2", "PmtDue1", "PmtDue2", "DiffPmt2",
         "BlankPmt1", "BlankPmt2", "LastPaid1", "TotalPaid",
@@ -161,6 +157,10 @@ LATE_CLASS_TEXT = {
 }
 LATE_CLASS_EDGES = [18, 36, 72, 108, 144, 180, 216, 252, 288]
 
+# Stretches of positions in the real bill file that hold the second instalment and the exemption amounts
+# that follow from it, for ``ClassifierSettings.later_positions``.
+LATER_POSITIONS = ((42, 53), (70, 81))
+
 # Columns of the payment ledger.
 LEDGER_COLUMNS = ["PIN", "TaxYear4", "Payment", "DatePaid", "SourceID", "TotalPaid"]
 

@@ -1,12 +1,13 @@
 """Whole jobs on the smallest tables."""
 
+import dataclasses
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from billrisk.operators import model as forests
-from billrisk.plans import BacktestSettings, ClassifierSettings, run_backtest, run_classifier
+from billrisk.plans import BacktestSettings, ClassifierSettings, clean_bills, run_backtest, run_classifier
 from billrisk.sources import load_model
 from suite import views as V
 
@@ -64,3 +65,14 @@ def test_backtest_windows(spark):
     assert {"TaxpayerMailingState_nonIL", "CofENumber_non0", "PastTaxSaleStatus_Y", "AreaFromPin_33",
             "AcquisitionStatus_1", "LatePmt1_0"} <= set(out.features)
     out.close()
+
+
+def test_columns_of_the_second_instalment_never_become_features(spark):
+    bills = V.bills(spark, SF).withColumns({"Surcharge2": F.lit("7"), "Refund2": F.lit(1.5)})
+    place = bills.columns.index("Surcharge2")
+    settings = ClassifierSettings(current_year=V.TEST_YEAR, as_of=V.AS_OF, policy="as_of")
+    plain = clean_bills(bills, V.due_dates(spark, SF), settings).columns
+    assert {"Surcharge2", "Refund2"} <= set(plain)
+    for later in ({"later_positions": ((place, place + 2), (900, 910))}, {"later_columns": ("Surcharge2", "Refund2", "unknown", "PIN")}):
+        left = clean_bills(bills, V.due_dates(spark, SF), dataclasses.replace(settings, **later)).columns
+        assert set(plain) - set(left) == {"Surcharge2", "Refund2"}
