@@ -13,10 +13,13 @@ from suite.check import compare, connect
 
 SF = "/root/testdata/sf0.001"
 DEFAULT = [
-    "scan_pipe_csv", "project_cast", "bounds_two_sided", "filter_funnel", "source_lookup_filter", "ledger_join",
-    "label_policy_always_late", "near_constant", "histogram_bins", "correlation_matrix", "winsorize",
-    "woe_fit_apply", "one_hot_discover", "history_hot_accounts", "classifier_features", "backtest_features",
-    "lateness_rows", "split_stratified", "gain_lift", "train_score_classifier", "train_score_multiclass",
+    "scan_pipe_csv", "scan_rejects", "scan_ledger_mixed_headers", "load_years", "project_cast", "bounds_two_sided",
+    "filter_funnel", "stage_sizes", "source_lookup_filter", "ledger_join", "label_policy_always_late", "near_constant",
+    "top_values", "distinct_counts_by", "late_rate_levels", "histogram_bins", "correlation_matrix", "winsorize",
+    "woe_fit_apply", "woe_large_table", "one_hot_discover", "one_hot_vector", "history_hot_accounts",
+    "classifier_features", "backtest_features", "lateness_rows", "split_stratified", "gain_lift",
+    "train_score_classifier", "classifier_thresholds", "classifier_gain_lift", "feature_importance",
+    "multiclass_confusion", "multiclass_scores", "days_report",
 ]
 NAMES = sorted(entry.oracle_sql()) if os.environ.get("QUERIES") == "all" else DEFAULT
 
