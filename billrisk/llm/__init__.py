@@ -8,5 +8,6 @@ import sys
 
 from pyspark import cloudpickle
 
-# Functions that run in tasks travel with the job, so executors need no copy of this package.
+# Functions that run in tasks travel with the job, and what is broadcast is arrays, bytes and dicts only, so executors
+# need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -11,6 +11,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from billrisk.llm.common import slices
+
 # Fixed value of the byte-level tokenizer format: how a text is cut before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _NONE = 1 << 30
@@ -40,28 +42,29 @@ class Vocabulary:
 
 
 class Encoder(dict):
-    """Word -> its token ids as little-endian 32-bit integers, remembered up to ``limit`` words."""
+    """Word -> its token ids as little-endian 32-bit integers; up to ``limit`` words of at most ``SHORT`` bytes are remembered."""
 
     SHORT = 200
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 1 << 18):
+    def __init__(self, ids: dict, ranks: dict, special: dict, limit: int = 1 << 17):
         super().__init__()
-        self.vocabulary, self.limit = vocabulary, limit
+        self.ids, self.ranks, self.special_ids, self.limit = ids, ranks, special, limit
         self.find = regex.compile(PATTERN).findall
-        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(vocabulary.special, key=len, reverse=True))) + ")") \
-            if vocabulary.special else None
+        self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
         raw = word.encode("utf-8", "surrogatepass")
         parts = self._short(raw) if len(raw) <= self.SHORT else self._long(raw)
-        value = self[word] = np.array([self.vocabulary.ids[p] for p in parts], "<u4").tobytes()
+        value = np.array([self.ids[p] for p in parts], "<u4").tobytes()
+        if len(raw) <= self.SHORT:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = value
         return value
 
     def _short(self, word: bytes) -> list[bytes]:
         """Scan the ranks between neighbouring parts for the least, delete that boundary, refresh its neighbours."""
-        ranks = self.vocabulary.ranks
+        ranks = self.ranks
         cuts = list(range(len(word) + 1))
 
         def rank(i: int) -> int:
@@ -79,7 +82,7 @@ class Encoder(dict):
 
     def _long(self, word: bytes) -> list[bytes]:
         """The same merges with a heap, as scanning a very long word again and again is quadratic."""
-        ranks, n = self.vocabulary.ranks, len(word)
+        ranks, n = self.ranks, len(word)
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at a place
         heap: list[tuple[int, int, int, int]] = []
 
@@ -112,8 +115,8 @@ class Encoder(dict):
             return b"".join(map(self.__getitem__, self.find(text)))
         pieces = []
         for part in self.special.split(text):
-            if part in self.vocabulary.special:
-                pieces.append(np.array([self.vocabulary.special[part]], "<u4").tobytes())
+            if part in self.special_ids:
+                pieces.append(np.array([self.special_ids[part]], "<u4").tobytes())
             elif part:
                 pieces.extend(map(self.__getitem__, self.find(part)))
         return b"".join(pieces)
@@ -123,13 +126,14 @@ def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
     """(doc_id, n_tokens, ids): ids as little-endian unsigned 32-bit integers, for whole texts.
 
     Null or empty text has no token.  Special tokens written in a text become
-    their id.  One row per row, repeated ids included; extra columns are ignored.
+    their id.  One row per row, repeated and null ids included; an empty table
+    gives an empty result; extra columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.ids, vocabulary.ranks, vocabulary.special))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
-        for batch in batches:
+        encoder = Encoder(*shared.value)
+        for batch in slices(batches):
             ids = [encoder.encode(text) if text else b"" for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
@@ -141,11 +145,11 @@ def bpe_encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id",
 
 def bpe_decode(tokens: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded) of the rows of ``bpe_encode``; broken UTF-8 becomes U+FFFD, special tokens stay."""
-    shared = tokens.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = tokens.sparkSession.sparkContext.broadcast(vocabulary.bytes_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        token = shared.value.bytes_of.__getitem__
-        for batch in batches:
+        token = shared.value.__getitem__
+        for batch in slices(batches):
             texts = [b"".join(map(token, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
                      for ids in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -17,33 +17,35 @@ def _cut(df: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(id, comp) of every id in ``links`` (a, b); comp is the smallest id that links reach.
 
-    Each round takes the smallest label of the neighbours, then the label of
-    the label, so that long chains shrink quickly.  Joins read tables that are
-    already written and hold no other step, so adaptive execution can split a
-    hot id; the minima combine before they are shuffled.  The tables of a round
-    are deleted when the next ones stand.
+    Each round lets every id take the smallest id among its neighbours and
+    itself, and then that one's choice; links between ids that are one by then
+    disappear, and the others go on as links between what is left.  So rounds
+    shrink quickly, and the choices of all rounds are put together at the end,
+    the small ones first.  Joins read tables that are already written and hold
+    no other step, so adaptive execution can split a hot id; minima combine
+    before they are shuffled.  Tables are deleted when the next ones stand.
     """
     with scratch(links.sparkSession) as scope:
-        edges = links.where("a <> b").select("a", "b").distinct()
-        edges = _cut(edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))))
-        labels = _cut(edges.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m"))
-                           .select("id", F.least("id", "m").alias("comp")))
-        while True:
-            none = F.lit(None).cast(labels.schema["id"].dataType)
-            offers = edges.join(labels, edges.a == labels.id).select(F.col("b").alias("id"), "comp", none.alias("old"))
-            held = labels.select("id", "comp", F.col("comp").alias("old"))
-            nearer = _cut(offers.union(held).groupBy("id").agg(F.min("comp").alias("comp"), F.max("old").alias("old")))
-            up = nearer.select(F.col("id").alias("up"), F.col("comp").alias("root"))
-            moved = _cut(nearer.join(up, nearer.comp == up.up, "left")
-                               .select("id", F.coalesce("root", "comp").alias("comp"), "old"))
-            free(labels, nearer)
-            if moved.where("comp <> old").isEmpty():
-                break
-            labels = moved.select("id", "comp")
-            labels._scratch_path = moved._scratch_path
-        done = scope.keep(moved).select("id", "comp")
-        done._scratch_path = moved._scratch_path
-    return done
+        edges = _cut(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        choices: list[DataFrame] = []
+        while not choices or not edges.isEmpty():
+            both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            near = _cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("comp")))
+            up = near.select(F.col("id").alias("up"), F.col("comp").alias("root"))
+            choices.append(_cut(near.join(up, near.comp == up.up).select("id", F.col("root").alias("comp"))))
+            x, y = (choices[-1].select(F.col("id").alias(end), F.col("comp").alias("c" + end)) for end in "ab")
+            left = _cut(edges.join(x, "a").join(y, "b").where("ca <> cb").select(
+                F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).distinct())
+            free(near, edges)
+            edges = left
+        found = choices.pop()
+        while choices:
+            first = choices.pop()
+            later = found.select(F.col("id").alias("up"), F.col("comp").alias("root"))
+            joined = _cut(first.join(later, first.comp == later.up, "left").select("id", F.coalesce("root", "comp").alias("comp")))
+            free(first, found)
+            found = joined
+        return scope.keep(found)
 
 
 def verified(verify: Callable[[DataFrame], DataFrame], pairs: DataFrame) -> DataFrame:

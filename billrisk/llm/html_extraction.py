@@ -24,12 +24,33 @@ NEVER = frozenset(
 PROSE = frozenset("article main p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre b i em strong a span code u s small sub sup mark q cite td th tr".split())
 CLOSED_BY_BLOCK = frozenset(("p",))
 CLOSED_BY_SELF = frozenset("li dd dt tr td th option".split())
-# Words in class or id that name other parts of a page than its article.
-_PART = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|sidebar|side|menu|nav\w*|breadcrumbs?|footer|masthead|"
-    r"topbar|toolbar|cookies?|consent|gdpr|notices?|notification|alert|popup|modal|overlay|newsletter|subscri\w*|comments?|"
-    r"commentlist|repl(?:y|ies)|respond|disqus|discussion|related|recommend\w*|share|sharing|social|widget|login|signin|"
-    r"signup|search|pagination|pager|skip|legal|disclaimer|header)(?:$|[\s_-])")
+# Words in class or id that name other parts of a page than its article: those that do so anywhere in a name ...
+_PART = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored sponsors sidebar nav navbar navigation menu breadcrumb breadcrumbs "
+    "footer masthead topbar toolbar cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription comment comments "
+    "commentlist replies disqus widget login signin signup pagination pager".split())
+# ... and those that do so alone or beside a word for a box, as in "share" and "share-buttons", but not in "share-price".
+_LOOSE = frozenset(
+    "promo promos promotion promotions banner side notice notices notification alert alerts reply respond discussion related recommend "
+    "recommended recommendations share sharing social search skip legal disclaimer header".split())
+_BOX = frozenset(
+    "area article articles bar block box btn button buttons col column container content form group icons inner item items left link links list "
+    "main message module page panel post posts right rail section site slot stories story top bottom wrap wrapper".split())
+_REPLIES = frozenset("comment comments commentlist reply replies respond discussion disqus".split())  # also on an article
+_NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+
+
+def names_other_part(name: str) -> bool:
+    """Whether a class or an id of an element names a part of the page that is not its article."""
+    for token in name.split():
+        words = [w.lower() for w in _NAME_WORDS.findall(token)]
+        if any(w in _PART for w in words):
+            return True
+        if any(w in _LOOSE for w in words) and all(w in _LOOSE or w in _BOX or w.isdigit() for w in words):
+            return True
+    return False
+
+
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 
 
@@ -60,7 +81,8 @@ class _Tree(HTMLParser):
         hidden = "hidden" in have or have.get("aria-hidden") == "true" or "display:none" in (have.get("style") or "").replace(" ", "").lower()
         node = Node(tag, name)
         node.dropped = (tag in NEVER or hidden or (have.get("role") or "").lower() in _ROLES
-                        or (tag not in ("html", "body", "article", "main") and bool(_PART.search(name))))
+                        or (tag not in ("html", "body", "article", "main") and bool(name) and names_other_part(name))
+                        or (tag == "article" and not _REPLIES.isdisjoint(_NAME_WORDS.findall(name.lower()))))
         self.open[-1].parts.append(node)
         if tag not in VOID:
             self.open.append(node)
@@ -137,6 +159,11 @@ def _content(root: Node) -> list[Node]:
     return [root]
 
 
+def _holds_title(header: Node) -> bool:
+    """Whether a header inside an article has a heading of the first two levels, at any depth."""
+    return any(node.tag in ("h1", "h2", "hgroup") for node in _walk(header))
+
+
 def blocks(root: Node, removed: frozenset[int] = frozenset(), hashes: dict[int, int] | None = None) -> list[str]:
     """Text blocks of the article in page order; subtrees whose hash is in ``removed`` are left out.
 
@@ -167,7 +194,7 @@ def blocks(root: Node, removed: frozenset[int] = frozenset(), hashes: dict[int,
                     if item.tag in BLOCK:
                         flush()
                     continue
-                if item.tag == "header" and not (inside and any(isinstance(p, Node) and p.tag in ("h1", "hgroup") for p in item.parts)):
+                if item.tag == "header" and not (inside and _holds_title(item)):
                     flush()
                     continue
                 if item.tag in BLOCK:
@@ -232,7 +259,8 @@ def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str =
     and white space inside a block becomes one space.
 
     Null or empty html gives an empty text; a null url, or one without a host,
-    is extracted by structure alone.  Repeated rows are returned as often; an
+    is extracted by structure alone.  Repeated rows and null ids are returned as
+    often; markup of any length and depth is read whole, without recursion; an
     empty table gives an empty result; extra columns are ignored.
     """
     rows = _pages(pages, id_col, url_col, html_col)

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from billrisk.llm.common import written
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")  # a word holds the marks on its letters
 _BASE = np.uint64(0x100000001B3)
 UNKNOWN = 0  # index of "a character that no piece covers"
 
@@ -41,6 +41,10 @@ class Pieces:
     longest: int
     size: int
 
+    def plain(self) -> tuple:
+        """Arrays and numbers only, to be sent to tasks that may not have this package."""
+        return self.hashes, self.index, self.longest, self.size
+
     @classmethod
     def build(cls, pieces: list[str]) -> Pieces:
         keys = []
@@ -186,10 +190,11 @@ def fit_language_model(docs: DataFrame, pieces: list[str], lang_col: str = "lang
     start[UNKNOWN] = start[-1]
     prob = np.repeat((start / start.sum())[:, None], len(languages), axis=1)
     for _ in range(rounds if languages else 0):
-        shared = spark.sparkContext.broadcast((table, languages, prob))
+        shared = spark.sparkContext.broadcast((table.plain(), languages, prob))
 
         def expect(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-            table, languages, prob = shared.value
+            plain, languages, prob = shared.value
+            table = Pieces(*plain)
             place = {lang: i for i, lang in enumerate(languages)}
             sums = np.zeros((len(languages), table.size))
             for batch in batches:
@@ -243,14 +248,17 @@ def predict_language(docs: DataFrame, model: LanguageModel, id_col: str = "doc_i
                      remember: int = 200_000) -> DataFrame:
     """(doc_id, lang_pred, score) of every whole text; score is the language's posterior probability.
 
-    ``und`` with score 0 if the text is null or has no letter, or if the model
-    knows no language.  Ties go to the first language in text order.  One row
-    per row, repeated and null ids included; extra columns are ignored.
+    ``und`` with score 0 if the text is null or has no letter (Unicode category
+    L), or if the model knows no language.  Ties go to the first language in
+    text order.  One row per row, repeated and null ids included; texts of any
+    length are read whole; an empty table gives an empty result; extra columns
+    are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.pieces.plain(), model.languages, model.prob, model.prior))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        model = shared.value
+        plain, *rest = shared.value
+        model = LanguageModel(Pieces(*plain), *rest)
         scores = _TokenScores(model)
         for batch in batches:
             ids, pred, post = batch.column(0), [], []

@@ -7,25 +7,45 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from billrisk.llm.common import (
-    FrequencyClasses, WordHashes, free, materialize, packed, scratch, shingle_hashes, split_words, tidy, unpacked, written,
+    FrequencyClasses, free, frequency_classes, hash_runs, hash_words, materialize, mix, packed, scratch, slices, tidy, unpacked, written,
 )
 from billrisk.llm.components import components, link_lists
 
 
+def _all_grams(texts: list[str | None], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of every run of k words of a block of texts; a shorter text is one run."""
+    raw = [text.encode("utf-8", "surrogatepass").lower() if text else b"" for text in texts]
+    words, starts = hash_words(np.frombuffer(b"\n".join(raw) + b"\n", np.uint8))
+    ends = np.cumsum([len(r) + 1 for r in raw])
+    owner = np.searchsorted(ends, starts, "right")
+    n = np.bincount(owner, minlength=len(texts))
+    last = np.cumsum(n)
+    begin = np.arange(len(words))
+    whole = begin + k <= last[owner]
+    tiny = np.flatnonzero((n > 0) & (n < k))
+    begin = np.concatenate([begin[whole], (last - n)[tiny]])
+    upto = np.concatenate([begin[:len(begin) - len(tiny)] + k, last[tiny]])
+    return (owner[begin], hash_runs(words, begin, upto)) if len(begin) else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
+
+
 def _grams_of(k: int):
     def make():
-        words = WordHashes()
-        return lambda text: np.unique(shingle_hashes(words.of(split_words(text)), k))
+        return lambda text: np.unique(_all_grams([text], k)[1])
     return make
 
 
 def _class_id(grams: np.ndarray) -> int:
-    """Identity of a set of n-grams: 64 bits of its sorted members."""
-    return int(np.uint64(xxhash.xxh3_64_intdigest(grams.tobytes(), seed=len(grams))).view(np.int64))
+    """Identity of a set of n-grams: 64 bits of its members in any order."""
+    return int(_class_ids(grams, np.zeros(1, np.int64))[0])
+
+
+def _class_ids(grams: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """``_class_id`` of sets that stand one after another and begin at ``first``."""
+    n = np.diff(first, append=len(grams)).astype(np.uint64)
+    return mix(np.add.reduceat(mix(grams), first) + n).view(np.int64)
 
 
 def _needed(n: int | np.ndarray, percent: int):
@@ -35,15 +55,33 @@ def _needed(n: int | np.ndarray, percent: int):
 
 EXTRA = 2  # short lists beyond the least number; so many more occurrences are asked for
 _BLOCK = 128  # members of a component that are counted against each other at once
-_SKETCH = 8  # 64-bit words of parity bits per set
+_SKETCH = 8  # 64-bit words of parity bits of a small set
 
 
 def _parity(grams: np.ndarray) -> np.ndarray:
-    """Bits that each member flips: two sets differ in at least as many members as their sketches differ in bits."""
-    bits = np.bincount((grams >> np.uint64(20)).astype(np.int64) % (64 * _SKETCH), minlength=64 * _SKETCH) & 1
+    """Bits that each member flips: two sets differ in at least as many members as their sketches differ in bits.
+
+    A sketch has a bit for two members or more, in a length that doubles, so
+    that sets of any size tell apart; the longer of two is folded to the other.
+    """
+    words = _SKETCH
+    while 128 * words < len(grams):
+        words *= 2
+    bits = np.bincount((grams >> np.uint64(20)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
+def _flips(a: Column, b: Column) -> Column:
+    """Bits in which two sketches differ, of which one may be twice as long."""
+    def folded(s: Column, other: Column) -> Column:
+        half = F.size(other)
+        return F.when(F.size(s) > half, F.zip_with(
+            F.slice(s, F.lit(1), half), F.slice(s, half + 1, half), lambda x, y: x.bitwiseXOR(y))).otherwise(s)
+
+    each = F.zip_with(folded(a, b), folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(each, F.lit(0), lambda n, x: n + x)
+
+
 def gram_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, classes: FrequencyClasses) -> DataFrame:
     """(doc_id, n, cid, short, sketch) per row: size, identity and parity bits of its set, the n-grams of its short lists.
 
@@ -52,23 +90,32 @@ def gram_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     others, the short ones.  "Frequent" is the corpus-wide order of (frequency
     class, hash).
     """
+    table = classes.table
+
     def build(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
-        grams_of = _grams_of(k)()
-        for batch in batches:
-            ids, sizes, cids, short, sketch = batch.column(0).to_pylist(), [], [], [], []
-            for text in batch.column(1).to_pylist():
-                grams = grams_of(text)
-                n = len(grams)
-                take = n - int(_needed(n, percent)) + 1 + EXTRA if n else 0
-                order = np.lexsort((grams, classes.of(grams)))[:take] if n else slice(0)
-                sizes.append(n)
-                cids.append(_class_id(grams) if n else None)
-                short.append(grams[order].view(np.int64))
-                sketch.append(_parity(grams))
+        known = FrequencyClasses(table)
+        for batch in slices(batches, 100):
+            owner, grams = _all_grams(batch.column(1).to_pylist(), k)
+            often = known.of(grams)
+            order = np.lexsort((grams, often, owner))
+            owner, grams = owner[order], grams[order]
+            fresh = np.ones(len(grams), bool)
+            fresh[1:] = (grams[1:] != grams[:-1]) | (owner[1:] != owner[:-1])
+            owner, grams = owner[fresh], grams[fresh]
+            n = np.bincount(owner, minlength=batch.num_rows)
+            full = np.flatnonzero(n)
+            first = (np.cumsum(n) - n)
+            cids = np.zeros(batch.num_rows, np.int64)
+            if len(full):
+                cids[full] = _class_ids(grams, first[full])
+            take = np.where(n > 0, n - _needed(n, percent) + 1 + EXTRA, 0)
+            short = np.arange(len(grams)) - first[owner] < take[owner]
+            bounds = np.concatenate([[0], np.cumsum(np.minimum(take, n))])
+            sketch = [_parity(grams[a:a + m]) for a, m in zip(first.tolist(), n.tolist())]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(cids, pa.int64()),
-                 pa.array(short, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
-                ["doc_id", "n", "cid", "short", "sketch"])
+                [batch.column(0), pa.array(n.astype(np.int64)), pa.array(cids, mask=n == 0),
+                 pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(grams[short].view(np.int64))),
+                 pa.array(sketch, pa.list_(pa.int64()))], ["doc_id", "n", "cid", "short", "sketch"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(build, "doc_id long, n long, cid long, short array<long>, sketch array<long>")
@@ -196,7 +243,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     with scratch(spark) as scope:
         texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        counted = FrequencyClasses.count(texts, "text", _grams_of(k))
+        counted = frequency_classes(texts, "text", lambda: lambda some: _all_grams(some, k)[1], 100)
         rows = written(gram_sets(texts, "doc_id", "text", k, percent, counted), "gram-sets", compression="zstd")
         classes = rows.where("cid is not null").groupBy("cid").agg(
             F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("m"), F.min("short").alias("short"),
@@ -221,9 +268,8 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         def verify(pairs: DataFrame) -> DataFrame:
             # two sets as similar as asked differ in at most (n + m) * (100 - percent) / (100 + percent) members
             p, q = (classes.select(F.col("cid").alias(c), F.col("n").alias("n" + c), F.col("sketch").alias("s" + c)) for c in "ab")
-            flips = [F.bit_count(F.get("sa", i).bitwiseXOR(F.get("sb", i))) for i in range(_SKETCH)]
             close = materialize(pairs.join(p, "a").join(q, "b").where(
-                sum(flips[1:], flips[0]) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b"))
+                _flips(F.col("sa"), F.col("sb")) * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent)).select("a", "b"))
             found = texts_of(close.select(F.col("a").alias("cid")).union(close.select(F.col("b"))).distinct())
             p, q = found.select(F.col("cid").alias("a"), F.col("text").alias("p")), found.select(F.col("cid").alias("b"), F.col("text").alias("q"))
             return close.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(k, percent), "a long, b long")
