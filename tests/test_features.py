@@ -84,8 +84,9 @@ def test_exact_percentiles(spark):
 
 def test_percentile_falls_back_when_a_bracket_misses(spark):
     values = spark.range(100).select(F.col("id").cast("double").alias("v"))
-    assert quantiles._interpolate(values, [(90.0, 95.0)], [10.0]) == [None]
-    assert quantiles._interpolate(values, [(0.0, 99.0)], [10.5]) == [10.5]
+    assert quantiles._ranked(values, {"v": [(90.0, 95.0)]}, {"v": [10.0]}) == {}
+    assert quantiles._ranked(values, {"v": [(0.0, 99.0)]}, {"v": [10.5]}) == {("v", 10): 10.0, ("v", 11): 11.0}
+    assert quantiles.exact_percentiles(values, "v", [10.5 / 99]) == pytest.approx([10.5])
 
 
 def woe_rows(spark):
