@@ -178,7 +178,8 @@ def encode_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str =
     if dimension % parts:
         raise ValueError(f"vectors of {dimension} components cannot be cut into {parts} equal parts")
     width = dimension // parts
-    start = np.array([r.vector for r in first if len(r.vector) == dimension], np.float64).reshape(-1, parts, width)
+    same = [r.vector for r in first if len(r.vector) == dimension]
+    start = np.array(same, np.float64).reshape(len(same), parts, width)
     books = np.array([int(x) for x in to_integers(start, scale).ravel()], object).reshape(start.shape).transpose(1, 0, 2)
     fixed = np.array([choose_pivots(book, pivots) for book in books], object) if len(start) else books
 
