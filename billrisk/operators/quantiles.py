@@ -8,6 +8,7 @@ from math import ceil, floor
 from pyspark.sql import Column, DataFrame, functions as F
 
 from billrisk.operators.ordering import running_sums
+from billrisk.session import compiled_methods
 
 _ITEMS = 4000  # of a KLL sketch
 _SLACK = 0.003  # of the rank; several times the sketch's usual error
@@ -31,6 +32,7 @@ def exact_percentiles_of(
     ranked.  A column whose brackets miss a rank is ranked in full, so the
     result is exact in any case.
     """
+    compiled_methods(df.sparkSession)  # conditions on brackets of all columns in one projection
     names = list(columns)
     values = df.select([_known(c) for c in names])
     marks = F.array(*[F.lit(p) for q in probabilities for p in (max(q - _SLACK, 0.0), min(q + _SLACK, 1.0))])
