@@ -15,6 +15,7 @@ from billrisk.llm.common import written
 
 _LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")  # a word holds the marks on its letters
 _BASE = np.uint64(0x100000001B3)
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN = 0  # index of "a character that no piece covers"
 
 
@@ -41,6 +42,14 @@ class Pieces:
     longest: int
     size: int
 
+    def __post_init__(self):
+        self.seen = np.zeros(1 << 20, bool)  # cells that hold a piece; most runs of characters are in none of them
+        self.seen[self._cells(self.hashes)] = True
+
+    @staticmethod
+    def _cells(hashes: np.ndarray) -> np.ndarray:
+        return hashes * _SPREAD >> np.uint64(44)
+
     def plain(self) -> tuple:
         """Arrays and numbers only, to be sent to tasks that may not have this package."""
         return self.hashes, self.index, self.longest, self.size
@@ -66,10 +75,11 @@ class Pieces:
         h = np.zeros((n, width), np.uint64)
         for k in range(deep):
             h = h[:, :width - k] * _BASE + codes[:, k:].astype(np.uint64) + np.uint64(1)
-            at = np.searchsorted(self.hashes, h)
+            row, start = np.nonzero(self.seen[self._cells(h)])
+            wanted = h[row, start]
+            at = np.searchsorted(self.hashes, wanted)
             at[at == len(self.hashes)] = 0
-            found = self.hashes[at] == h
-            out[:, :width - k, k] = np.where(found, self.index[at], -1)
+            out[row, start, k] = np.where(self.hashes[at] == wanted, self.index[at], -1)
         out[:, :, 0] = np.maximum(out[:, :, 0], UNKNOWN)
         return out
 
@@ -78,15 +88,14 @@ def _by_length(words: list[str], cells: int = 60_000) -> Iterator[tuple[np.ndarr
     """(positions, code matrix) of words of equal length, in blocks of bounded size."""
     if not words:
         return
-    marked = [_code("▁" + w) for w in words]
-    lengths = np.array([len(m) for m in marked])
+    lengths = np.array([len(w) + 1 for w in words])
     order = np.argsort(lengths, kind="stable")
     edges = np.flatnonzero(np.diff(lengths[order])) + 1
     for group in np.split(order, edges):
         step = max(1, cells // lengths[group[0]])
         for i in range(0, len(group), step):
             block = group[i:i + step]
-            yield block, np.stack([marked[j] for j in block])
+            yield block, _code("".join(["▁" + words[j] for j in block])).reshape(len(block), -1)
 
 
 def forward(lattice: np.ndarray, prob: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -115,6 +124,25 @@ def forward(lattice: np.ndarray, prob: np.ndarray) -> tuple[np.ndarray, np.ndarr
         return np.log(np.maximum(alpha[width], 1e-300)) + scale[width], alpha, scale
 
 
+def word_logs(lattice: np.ndarray, prob: np.ndarray) -> np.ndarray:
+    """The log sums of ``forward``; words too short to leave the range of a double need no scale."""
+    n, width, deep = lattice.shape
+    if not prob.size or width * -np.log10(prob.min()) > 290:
+        return forward(lattice, prob)[0]
+    alpha = [np.ones((n, prob.shape[1]))]
+    for t in range(1, width + 1):
+        here = np.zeros_like(alpha[0])
+        for k in range(min(deep, t)):
+            piece = lattice[:, t - 1 - k, k]
+            rows = np.flatnonzero(piece >= 0)
+            if len(rows) == n:
+                here += alpha[t - 1 - k] * prob[piece]
+            elif len(rows):
+                here[rows] += alpha[t - 1 - k][rows] * prob[piece[rows]]
+        alpha.append(here)
+    return np.log(alpha[width])
+
+
 def expected_counts(lattice: np.ndarray, prob: np.ndarray, weight: np.ndarray, out: np.ndarray) -> None:
     """Add to ``out`` [piece] each word's expected piece uses times its weight, under one language's ``prob``."""
     total, alpha, scale = forward(lattice, prob)
@@ -239,7 +267,7 @@ class _TokenScores(dict):
         rows = np.zeros((len(runs), self.matrix.shape[1]))
         rows[:, -1] = [len(r) for r in runs]
         for block, codes in _by_length(words if self.model.languages else []):
-            np.add.at(rows[:, :-1], owner[block], forward(self.model.pieces.lattice(codes), self.model.prob)[0])
+            np.add.at(rows[:, :-1], owner[block], word_logs(self.model.pieces.lattice(codes), self.model.prob))
         self.matrix = np.concatenate([self.matrix, rows])
         self.fresh = []
 
