@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 from collections.abc import Iterable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,7 @@ from billrisk.llm.common import slices
 # Fixed value of the byte-level tokenizer format: how a text is cut before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _NONE = 1 << 30
+_BYTES = [bytes([b]) for b in range(256)]
 
 
 def byte_symbols() -> dict[str, int]:
@@ -55,7 +58,7 @@ class Encoder(dict):
     def __missing__(self, word: str) -> bytes:
         raw = word.encode("utf-8", "surrogatepass")
         parts = self._short(raw) if len(raw) <= self.SHORT else self._long(raw)
-        value = np.array([self.ids[p] for p in parts], "<u4").tobytes()
+        value = struct.pack(f"<{len(parts)}I", *map(self.ids.__getitem__, parts))
         if len(raw) <= self.SHORT:
             if len(self) >= self.limit:
                 self.clear()
@@ -63,22 +66,18 @@ class Encoder(dict):
         return value
 
     def _short(self, word: bytes) -> list[bytes]:
-        """Scan the ranks between neighbouring parts for the least, delete that boundary, refresh its neighbours."""
-        ranks = self.ranks
-        cuts = list(range(len(word) + 1))
-
-        def rank(i: int) -> int:
-            return ranks.get((word[cuts[i]:cuts[i + 1]], word[cuts[i + 1]:cuts[i + 2]]), _NONE) if 0 <= i < len(cuts) - 2 else _NONE
-
-        adjacent = [rank(i) for i in range(len(word) - 1)]
+        """Scan the ranks between neighbouring parts for the least, join these two, refresh their neighbours."""
+        rank, parts = self.ranks.get, list(map(_BYTES.__getitem__, word))
+        adjacent = list(map(rank, zip(parts, parts[1:]), repeat(_NONE)))
         while adjacent and (least := min(adjacent)) < _NONE:
             i = adjacent.index(least)
-            del cuts[i + 1], adjacent[i]
+            parts[i] += parts.pop(i + 1)
+            del adjacent[i]
             if i < len(adjacent):
-                adjacent[i] = rank(i)
+                adjacent[i] = rank((parts[i], parts[i + 1]), _NONE)
             if i:
-                adjacent[i - 1] = rank(i - 1)
-        return [word[a:b] for a, b in zip(cuts, cuts[1:])]
+                adjacent[i - 1] = rank((parts[i - 1], parts[i]), _NONE)
+        return parts
 
     def _long(self, word: bytes) -> list[bytes]:
         """The same merges with a heap, as scanning a very long word again and again is quadratic."""
