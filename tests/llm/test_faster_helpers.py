@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from billrisk.llm import bpe, language_id
+from billrisk.llm import bpe, language_id, masked_lm
 
 
 def _plain_merges(word: bytes, ranks: dict) -> list[bytes]:
@@ -36,3 +36,38 @@ def test_word_sums_without_scale_are_those_with_it(least):
     for _, codes in language_id._by_length(["a", "abab", "xyz", "babé", "ababababx", "😀"]):
         lattice = pieces.lattice(codes)
         assert np.allclose(language_id.word_logs(lattice, prob), language_id.forward(lattice, prob)[0], rtol=1e-12)
+
+
+def _plain_logs(net: masked_lm.Network, context: np.ndarray, target: np.ndarray) -> np.ndarray:
+    h = net.hidden(context).astype(float)
+    out = np.zeros(len(target))
+    for i, t in enumerate(target):
+        for z, k in ((h[i] @ net.group, t // masked_lm.SIZE), (h[i] @ net.word[t // masked_lm.SIZE], t % masked_lm.SIZE)):
+            out[i] += z[k] - np.log(np.exp(z - z.max()).sum()) - z.max()
+    return out
+
+
+@pytest.mark.parametrize("n", [1, 7, 300])
+def test_masked_words_by_group_are_those_one_by_one(n):
+    rng = np.random.default_rng(n)
+    size = masked_lm.GROUPS * masked_lm.SIZE
+    net = masked_lm.Network.start()
+    context, target = rng.integers(0, size + 1, (2 * masked_lm.WIDTH, n)).astype(np.int16), rng.integers(0, size, n).astype(np.int16)
+    order, groups = masked_lm._by_group(target // masked_lm.SIZE)
+    assert [g for g, a, b in groups for _ in range(a, b)] == (target[order] // masked_lm.SIZE).tolist()
+    assert np.allclose(masked_lm.log_probabilities(net, context, target), _plain_logs(net, context, target), atol=1e-4)
+    before = _plain_logs(net, context, target).mean()
+    trainer = masked_lm._Trainer(net, 0.05)
+    for _ in range(3):
+        trainer.step(context, target)
+    assert _plain_logs(net, context, target).mean() > before
+
+
+def test_known_words_of_the_masked_model_outlast_the_memory_of_rare_ones():
+    ids = masked_lm._Ids(["the", "of"], limit=3)
+    whole = masked_lm._Ids(["the", "of"])
+    texts = ["the cat of x", None, "", "of y z the \u00e9", "the cat"]
+    for text in texts:
+        for a, b in zip(ids.laid_out([text]), whole.laid_out([text])):
+            assert a.tolist() == b.tolist()
+    assert len(ids) < len(whole) and ids["of"] == 1
