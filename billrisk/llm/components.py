@@ -66,7 +66,7 @@ def _side(lists: DataFrame, name: str, extra: list[str]) -> DataFrame:
 
 def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], near: Near | None = None,
                short: int = 64, star_rounds: int = 8, least: Callable[[Column, Column], Column] | None = None,
-               broadcast_rows: int = 500_000) -> DataFrame:
+               broadcast_rows: int = 500_000, meet: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Verified links (a, b, ...) that join everything which any list should join.
 
     ``lists`` (key, id, ...), without repeated rows: members of one key are
@@ -76,8 +76,12 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], near:
     ``least``, from the sizes ``n`` of both, says in how many lists a pair has
     to occur to be a link; a pair counts as occurring in every long list.
     In lists of up to ``short`` members every pair is looked at, which is at
-    most ``short`` comparisons a row; longer lists follow by stars.  The result
-    need not hold every link, but two members of a list with a link are always
+    most ``short`` comparisons a row; longer lists follow by stars.  What stars
+    leave open is joined pair by pair, unless ``meet`` takes the members (key,
+    id, ..., comp, all, rest, aside) of those lists and returns the pairs of
+    different components that it cannot rule out, each with a member aside.
+    ``all`` members has a list, of which ``rest`` are aside, that is, not in
+    its largest component.  The result need not hold every link, but two members of a list with a link are always
     in one component of the result.
     """
     extra = [c for c in lists.columns if c not in ("key", "id")]
@@ -101,13 +105,13 @@ def link_lists(lists: DataFrame, verify: Callable[[DataFrame], DataFrame], near:
     links = verified(verify, _cut(pairs))
     many = shared.where(F.col("m") > short).drop("m")
     if not many.isEmpty():
-        links = _star_links(many, extra, links, verify, near, short, star_rounds)
+        links = _star_links(many, extra, links, verify, near, short, star_rounds, meet)
     free(shared)
     return links
 
 
 def _star_links(lists: DataFrame, extra: list[str], links: DataFrame, verify: Callable[[DataFrame], DataFrame],
-                near: Near | None, short: int, star_rounds: int) -> DataFrame:
+                near: Near | None, short: int, star_rounds: int, meet: Callable[[DataFrame], DataFrame] | None) -> DataFrame:
     """``links`` and those of long lists.
 
     While the pairs still open are more than ``short`` a row and become fewer,
@@ -134,7 +138,10 @@ def _star_links(lists: DataFrame, extra: list[str], links: DataFrame, verify: Ca
         last = turn == star_rounds or open_pairs <= budget or (before is not None and open_pairs > 0.7 * before)
         before = open_pairs
         x, y = (_side(labelled, side, [*extra, "comp"]) for side in "xy")
-        if last:
+        if last and meet is not None:
+            spare = _cut(labelled.join(lead, "key").select("key", "id", *extra, "comp", "all", "rest", (F.col("comp") != F.col("top")).alias("aside")))
+            pairs = meet(spare)
+        elif last:
             aside = _cut(x.join(lead.select("key", "top"), "key").where("x_comp <> top").drop("top"))
             pairs = aside.join(y, "key")
             spare = aside
@@ -145,10 +152,12 @@ def _star_links(lists: DataFrame, extra: list[str], links: DataFrame, verify: Ca
                 F.min(F.struct(mark, "id", *extra, "comp")).alias("p"))
             spare = _cut(_side(pivot.select("key", "p.*"), "y", [*extra, "comp"]))
             pairs = x.join(spare, "key")
-        pairs = pairs.where("x_comp <> y_comp")
-        if near is not None:
-            pairs = pairs.where(near(lambda c: F.col("x_" + c), lambda c: F.col("y_" + c)))
-        pairs = _cut(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        if not last or meet is None:
+            pairs = pairs.where("x_comp <> y_comp")
+            if near is not None:
+                pairs = pairs.where(near(lambda c: F.col("x_" + c), lambda c: F.col("y_" + c)))
+            pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        pairs = _cut(pairs.distinct())
         free(labelled, lead, spare)
         more = verified(verify, pairs)
         both = _cut(links.union(more))

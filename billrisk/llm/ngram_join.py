@@ -55,6 +55,7 @@ def _needed(n: int | np.ndarray, percent: int):
 
 EXTRA = 2  # short lists beyond the least number; so many more occurrences are asked for
 _BLOCK = 128  # members of a component that are counted against each other at once
+_MEET = 256  # members of a list of whom sketches are held against each other at once
 _SKETCH = 8  # 64-bit words of parity bits of a small set
 
 
@@ -82,6 +83,91 @@ def _flips(a: Column, b: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda n, x: n + x)
 
 
+def _alike(n: np.ndarray, comp: np.ndarray, mine: np.ndarray, aside: np.ndarray, sketches: list[np.ndarray],
+           percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(place of a member aside, places of those it may link with) that sizes, components and sketches do not rule out.
+
+    ``mine`` tells the two blocks of a task apart; members of one block meet only if there is no other.
+    """
+    size = np.array([len(s) for s in sketches])
+    at, across, rows = np.arange(len(n)), mine.min() != mine.max(), {}
+    for length in np.unique(size):
+        own = np.flatnonzero(size == length)
+        rows[length] = own, np.stack([sketches[i] for i in own])
+    for i in np.flatnonzero(aside):
+        open_ = (comp != comp[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])) & (~aside | (at < i))
+        if across:
+            open_ &= mine != mine[i]
+        for length in (size[i] // 2, size[i], 2 * size[i]):  # sizes as near as that have sketches of no other length
+            if length not in rows:
+                continue
+            own, table = rows[length]
+            there = np.flatnonzero(open_[own])
+            if not len(there):
+                continue
+            x, y = sketches[i], table[there]
+            if length < size[i]:
+                x = x[:length] ^ x[length:]
+            elif length > size[i]:
+                y = y[:, :size[i]] ^ y[:, size[i]:]
+            flips = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            there = own[there[flips * (100 + percent) <= (n[own[there]] + n[i]) * (100 - percent)]]
+            if len(there):
+                yield i, there
+
+
+def meet_in_blocks(members: DataFrame, classes: DataFrame, percent: int, block: int = _MEET) -> DataFrame:
+    """(a, b), a < b: pairs of members of one list, in different components, that may link by size and sketch.
+
+    ``members`` as ``link_lists`` gives them, ``classes`` (cid, n, sketch).
+    Members of a list are dealt into blocks by a hash, and every two blocks of
+    which one is aside meet in a task of their own, so that a list of any size
+    is spread over tasks, and only pairs that may link become rows.
+    """
+    aside, others = (F.ceil(x / block).cast("int") for x in (F.col("rest"), F.col("all") - F.col("rest")))
+    dealt = members.where(F.col("all") > block).select("key", "id", "comp", "aside", aside.alias("a"), others.alias("t"))
+    place = F.when(F.col("aside"), F.pmod(F.xxhash64("id"), F.col("a"))).otherwise(F.col("a") + F.pmod(F.xxhash64("id"), F.col("t")))
+    dealt = dealt.withColumn("mine", place.cast("int")).withColumn("other", F.explode(F.sequence(
+        F.lit(0), F.when(F.col("aside"), F.col("a") + F.col("t")).otherwise(F.col("a")) - 1)))
+    dealt = dealt.select("key", "id", "comp", "aside", "mine", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"))
+    zero = F.lit(0)
+    whole = members.where(F.col("all") <= block).select(
+        "key", "id", "comp", "aside", zero.alias("mine"), zero.alias("low"), zero.alias("high"))
+    met = whole.union(dealt).join(classes.select(F.col("cid").alias("id"), "n", "sketch"), "id")
+    met = met.select("key", "low", "high", "mine", "id", "comp", "aside", "n", "sketch")
+    met = met.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        def finish(rows):
+            mine, ids, comp, aside, n = (np.array(c) for c in zip(*(r[3:8] for r in rows)))
+            if len(rows) < 2 or not aside.any():
+                return
+            for i, there in _alike(n, comp, mine, aside, [np.array(r[8], np.int64).view(np.uint64) for r in rows], percent):
+                yield np.minimum(ids[i], ids[there]), np.maximum(ids[i], ids[there])
+
+        def packed_pairs(found):
+            a, b = zip(*found) if found else ([np.zeros(0, np.int64)],) * 2
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
+
+        held, at, found, many = [], None, [], 0
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:3] != at and held:
+                    for pair in finish(held):
+                        found.append(pair)
+                        many += len(pair[0])
+                        if many > 100_000:
+                            yield packed_pairs(found)
+                            found, many = [], 0
+                    held = []
+                at = row[:3]
+                held.append(row)
+        found.extend(finish(held) if held else ())
+        yield packed_pairs(found)
+
+    return met.mapInArrow(run, "a long, b long")
+
+
 def gram_sets(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, classes: FrequencyClasses) -> DataFrame:
     """(doc_id, n, cid, short, sketch) per row: size, identity and parity bits of its set, the n-grams of its short lists.
 
@@ -275,7 +361,7 @@ def ngram_jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             return close.join(p, "a").join(q, "b").select("a", "b", "p", "q").mapInArrow(_probe(k, percent), "a long, b long")
 
         links = link_lists(lists, verify, near, short=3, least=lambda n, m: F.least(
-            F.lit(1 + EXTRA), F.ceil((n + m) * percent / (100 + percent))))
+            F.lit(1 + EXTRA), F.ceil((n + m) * percent / (100 + percent))), meet=lambda members: meet_in_blocks(members, classes, percent))
         comp = components(links)
         free(links)
         of = comp.withColumnRenamed("id", "cid")
